@@ -78,10 +78,14 @@ def local_hour_profile(
     closes: int = 20,
     event_type: str = "delivered",
 ) -> DataFrame:
-    """Events per country and local hour; ``in_hours`` marks ``opens <= hour < closes``."""
+    """Events per country and local hour; ``in_hours`` marks ``opens <= hour < closes``.
+
+    Events without a timestamp have no hour and stay out.
+    """
     local = F.col("hour_local")
     return (
         _delivery_hours(tables, scope, event_type, LATE_FROM)
+        .filter(F.col("hour_utc").isNotNull())
         .groupBy("country", "hour_local")
         .agg(F.sum("events").alias("events"))
         .withColumn("in_hours", (local >= opens) & (local < closes))
