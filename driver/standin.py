@@ -21,9 +21,12 @@ def _columns(df: DataFrame, **exprs: str) -> DataFrame:
 class StandIn:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._given: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._given:
+            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._given[name]
 
     def _count(self, name: str):
         return self.given(name).agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -58,15 +58,11 @@ def not_in_domain(c: Column, allowed: Sequence) -> Column:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Columns that hold NULLs: column_name, null_count, null_pct."""
-    checks = [Check.rows(c, F.col(c).isNull()) for c in df.columns]
-    return (
-        run_checks(df, checks, label="column_name")
-        .filter("error_count > 0")
-        .select(
-            "column_name",
-            F.col("error_count").alias("null_count"),
-            F.col("error_pct").alias("null_pct"),
-        )
+    counts = df.agg(F.count(F.lit(1)).alias("total"), *[F.count(c).alias(c) for c in df.columns])
+    per_column = counts.unpivot("total", df.columns, "column_name", "present")
+    nulls = F.col("total") - F.col("present")
+    return per_column.filter(nulls > 0).select(
+        "column_name", nulls.alias("null_count"), safe_pct(nulls, F.col("total")).alias("null_pct")
     )
 
 

@@ -12,7 +12,7 @@ hold. All functions need only the sort order of the times, so they fit any time
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +34,28 @@ def _intervals(
     )
 
 
+def _small_and_large(
+    rows: DataFrame, keys: Sequence[str], direct_up_to: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of groups up to a size, and rows of larger groups (``None`` if there are none).
+
+    Comparing the rows of a group with each other is bounded per row only in a small group. Whether
+    there are large ones is looked up with one counting job, as most data has none.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") > direct_up_to).select(*keys)
+    if large.isEmpty():
+        return rows, None
+    return rows.join(large, [*keys], "left_anti"), rows.join(large, [*keys], "left_semi")
+
+
+def _pairs_in_small_groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Overlapping pairs with ``id`` below ``id_b``; every column of the second row ends in _b."""
+    other = rows.withColumnsRenamed({c: f"{c}_b" for c in rows.columns if c not in keys})
+    met = (F.col("id") < F.col("id_b")) & (F.col("s_b") < F.col("e")) & (F.col("e_b") > F.col("s"))
+    return rows.join(other, [*keys]).filter(met)
+
+
 def overlap_pairs(
     routes: DataFrame,
     keys: Sequence[str] = PARTNER_DAY,
@@ -41,31 +63,44 @@ def overlap_pairs(
     start: str = START,
     end: str = END,
     keep: Sequence[str] = ("center_id", "vehicle_type_id"),
-    bucket_hours: int = 6,
-    long_after_buckets: int = 12,
+    direct_up_to: int = 64,
+    bucket_hours: int = 1,
+) -> DataFrame:
+    """Every overlapping pair once, ``id_a < id_b``, with the ``keep`` columns of both sides."""
+    rows = _intervals(routes, keys, id_col, start, end, *keep)
+    names = {"id": "id", "s": "start", "e": "end", **{c: c for c in keep}}
+    small, large = _small_and_large(rows, keys, direct_up_to)
+    pairs = _pairs_in_small_groups(small, keys).select(*keys, *[
+        F.col(f"{c}{mark}").alias(f"{name}_{side}")
+        for c, name in names.items() for mark, side in (("", "a"), ("_b", "b"))
+    ])
+    if large is None:
+        return pairs
+    return pairs.unionByName(_pairs_by_bucket(large, keys, names, bucket_hours * 3600))
+
+
+#: An interval is copied into so many buckets at most.
+_MAX_COPIES = 48
+
+
+def _pairs_by_bucket(
+    rows: DataFrame, keys: Sequence[str], names: Mapping[str, str], seconds: int
 ) -> DataFrame:
-    """Every overlapping pair once, ``id_a < id_b``, with the ``keep`` columns of both sides.
+    """Of two overlapping intervals, one starts while the other is open: each start is looked up in
+    the open intervals of its time bucket.
 
-    Of two overlapping intervals, one starts while the other is open. The join therefore looks up
-    each start in the open intervals of the same time bucket: a crowded group is split by bucket,
-    and a pair meets in one bucket only. Intervals over more than ``long_after_buckets`` buckets
-    would be copied too often; they are open nearly everywhere and join on the keys alone.
+    A crowded group is split by bucket, and a pair meets in one bucket only. Intervals that cover
+    too many buckets are open nearly everywhere in their group and join on the keys alone.
     """
-    rows = _intervals(routes, keys, id_col, start, end, *keep)
-    seconds = bucket_hours * 3600
     first = F.floor(epoch_seconds(F.col("s")) / seconds)
     last = F.floor(epoch_seconds(F.col("e")) / seconds)
-
-    side = [*keys, "id", "s", "e", *keep]
-    renamed = {c: f"o_{c}" for c in ("id", "s", "e", *keep)}
-    opened = rows.filter(F.col("s") < F.col("e")).select(
-        *keys, *[F.col(c).alias(n) for c, n in renamed.items()],
-        first.alias("first"), last.alias("last"),
+    opened = (
+        rows.filter(F.col("s") < F.col("e"))
+        .withColumns({"first": first, "last": last})
+        .withColumnsRenamed({c: f"o_{c}" for c in names})
     )
-    is_long = (F.col("last") - F.col("first")) >= long_after_buckets
+    is_long = F.col("last") - F.col("first") >= _MAX_COPIES
     short = opened.filter(~is_long).withColumn("bucket", F.explode(F.sequence("first", "last")))
-    starts = rows.select(*side, first.alias("bucket"))
-
     met = (
         (F.col("o_id") != F.col("id"))
         & (F.col("o_s") <= F.col("s"))
@@ -75,16 +110,16 @@ def overlap_pairs(
         & ((F.col("o_s") < F.col("s")) | (F.col("o_id") < F.col("id")))
     )
     found = [
-        short.join(starts, [*keys, "bucket"]).filter(met),
+        short.join(rows.withColumn("bucket", first), [*keys, "bucket"]).filter(met),
         opened.filter(is_long).join(rows, [*keys]).filter(met),
     ]
-    swap = F.col("id") < F.col("o_id")
-    out = [*keys]
-    for c in ("id", "s", "e", *keep):
-        name = {"s": "start", "e": "end"}.get(c, c)
-        out.append(F.when(swap, F.col(c)).otherwise(F.col(f"o_{c}")).alias(f"{name}_a"))
-        out.append(F.when(swap, F.col(f"o_{c}")).otherwise(F.col(c)).alias(f"{name}_b"))
-    return found[0].select(*out).unionByName(found[1].select(*out))
+    start_is_a = F.col("id") < F.col("o_id")
+    columns = [*keys]
+    for c, name in names.items():
+        mine, other = F.col(c), F.col(f"o_{c}")
+        columns.append(F.when(start_is_a, mine).otherwise(other).alias(f"{name}_a"))
+        columns.append(F.when(start_is_a, other).otherwise(mine).alias(f"{name}_b"))
+    return found[0].select(*columns).unionByName(found[1].select(*columns))
 
 
 def overlap_counts(
@@ -104,19 +139,17 @@ def overlap_counts(
     ``multi_hub`` and ``impossible_vehicle`` are pairs at different hubs and, of these, those with
     the same vehicle. Nothing is reported for a group without an overlap.
 
-    Groups of at most ``direct_up_to`` rows compare their rows with each other, which bounds the
-    comparisons per row. Larger groups go through ``_ranked_sides``.
+    Small groups compare their rows with each other, larger ones go through ``_ranked_sides``.
     """
     per = list(keys if per is None else per)
     rows = _intervals(routes, keys, id_col, start, end, hub, vehicle)
     rows = rows.withColumnsRenamed({hub: "hub", vehicle: "vehicle"})
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.filter(F.col("n") > direct_up_to).select(*keys)
-    direct = _direct_sides(rows.join(large, [*keys], "left_anti"), keys)
-    ranked = _ranked_sides(rows.join(large, [*keys], "left_semi"), keys)
+    small, large = _small_and_large(rows, keys, direct_up_to)
+    sides = _direct_sides(small, keys)
+    if large is not None:
+        sides = sides.unionByName(_ranked_sides(large, keys))
     return (
-        direct.unionByName(ranked)
-        .groupBy(*per, "id")
+        sides.groupBy(*per, "id")
         .agg(
             F.max("is_a").alias("is_a"),
             F.max("is_b").alias("is_b"),
@@ -136,8 +169,6 @@ def overlap_counts(
 
 def _direct_sides(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per group and id: its two sides, and the pairs in which it is the smaller id."""
-    other = rows.withColumnsRenamed({c: f"{c}_b" for c in ("id", "s", "e", "hub", "vehicle")})
-    met = (F.col("id") < F.col("id_b")) & (F.col("s_b") < F.col("e")) & (F.col("e_b") > F.col("s"))
     multi_hub = F.coalesce(F.col("hub") != F.col("hub_b"), F.lit(False))
     impossible = F.coalesce(multi_hub & (F.col("vehicle") == F.col("vehicle_b")), F.lit(False))
 
@@ -152,7 +183,7 @@ def _direct_sides(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     none = F.lit(False)
     sides = F.array(side("id", True, multi_hub, impossible), side("id_b", False, none, none))
-    pairs = rows.join(other, [*keys]).filter(met)
+    pairs = _pairs_in_small_groups(rows, keys)
     return (
         pairs.select(*keys, F.explode(sides).alias("side"))
         .groupBy(*keys, "side.id")
