@@ -7,6 +7,8 @@ formulas in SQL.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,24 @@ from waybill.functions import cleaning
 from waybill.sources.tables import Tables
 
 
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def _columns(df: DataFrame, **exprs: str) -> DataFrame:
     return df.select(*[F.expr(e).alias(name) for name, e in exprs.items()])
 
@@ -25,7 +45,8 @@ class StandIn:
 
     def given(self, name: str) -> DataFrame:
         if name not in self._given:
-            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            reader = self.spark.read.schema(GIVEN[name])
+            self._given[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._given[name]
 
     def _count(self, name: str):
@@ -97,6 +118,7 @@ class StandIn:
             active_flag="1L",
         )
 
+    @cached_property
     def _orders(self) -> DataFrame:
         """Orders with their hub and, in minutes of the day, the four times of the route."""
         customer = self.given("customer").select("c_custkey", "c_nationkey")
@@ -140,7 +162,7 @@ class StandIn:
             return f"timestampadd(MINUTE, {minutes}, cast(day as timestamp_ntz))"
 
         return _columns(
-            self._orders(),
+            self._orders,
             route_id="route_id",
             partner_id="partner_id",
             vehicle_type_id="vehicle_type_id",
@@ -166,7 +188,7 @@ class StandIn:
             return f"if(k % 2 = 0, concat({text}, ':00'), concat(' ', {text}))"
 
         return _columns(
-            self._orders(),
+            self._orders,
             route_id="route_id",
             partner_id="partner_id",
             vehicle_type_id="vehicle_type_id",
@@ -191,6 +213,7 @@ class StandIn:
             for c in raw.columns
         ])
 
+    @cached_property
     def _shipped(self) -> DataFrame:
         return _columns(
             self.given("lineitem"),
@@ -206,7 +229,7 @@ class StandIn:
         )
 
     def shipments_new(self) -> DataFrame:
-        return self._shipped().select(
+        return self._shipped.select(
             "shipment_id",
             "route_id",
             "last_status_detail",
@@ -216,7 +239,7 @@ class StandIn:
 
     def shipments(self) -> DataFrame:
         return _columns(
-            self._shipped(),
+            self._shipped,
             shipment_id="concat(shipment_id, '-', part_key % 10)",
             route_id="route_id",
             partner_id="concat('PT-', supplier_key)",
@@ -227,6 +250,7 @@ class StandIn:
             last_status_detail="last_status_detail",
         )
 
+    @cached_property
     def _tracked(self) -> DataFrame:
         counted = self.given("events").withColumn("n_orders", self._count("orders"))
         timed = counted.withColumn("at", F.expr("if(event_id % 103 = 0, null, ts)"))
@@ -246,7 +270,7 @@ class StandIn:
 
     def shipment_events_new(self) -> DataFrame:
         return _columns(
-            self._tracked(),
+            self._tracked,
             event_id="event_id",
             shipment_id="shipment_id",
             route_id="route_id",
@@ -258,7 +282,7 @@ class StandIn:
 
     def shipment_events(self) -> DataFrame:
         return _columns(
-            self._tracked(),
+            self._tracked,
             event_id="event_id",
             shipment_id="shipment_id",
             center_id="concat('DC-', user_id % 25)",
@@ -287,7 +311,7 @@ class StandIn:
         bad_date = "k % 89 = 3" if faults else "false"
         bad_stops = "k % 127 = 3" if faults else "false"
         return _columns(
-            self._orders(),
+            self._orders,
             route_status="route_status",
             route_id="route_id",
             driver_note="concat('note ', k)",
@@ -309,7 +333,7 @@ class StandIn:
     def raw_shipments(self) -> DataFrame:
         """Text dates of the control shipments in the formats of the exports."""
         return _columns(
-            self._shipped(),
+            self._shipped,
             shipment_id="concat(shipment_id, '-', part_key % 10)",
             shipment_date="if(order_key % 5 = 0, concat(day(status_change_timestamp), '/', "
             "month(status_change_timestamp), '/', year(status_change_timestamp)), "

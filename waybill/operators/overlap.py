@@ -25,6 +25,10 @@ START = "actual_route_start_time"
 END = "actual_route_end_time"
 
 
+#: Keys of this many groups take a few megabytes.
+_MAX_BROADCAST_GROUPS = 100_000
+
+
 def _intervals(
     routes: DataFrame, keys: Sequence[str], id_col: str, start: str, end: str, *keep: str
 ) -> DataFrame:
@@ -41,12 +45,23 @@ def _small_and_large(
 
     Comparing the rows of a group with each other is bounded per row only in a small group. Whether
     there are large ones is looked up with one counting job, as most data has none.
+
+    The rows must not be gathered per group here, where one group may hold a large share of them:
+    the list of large groups is broadcast if its counted length allows, and otherwise the rows are
+    spread again after the join (which also lets Spark split a skewed join partition).
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     large = sizes.filter(F.col("n") > direct_up_to).select(*keys)
-    if large.isEmpty():
+    found = large.count()
+    if found == 0:
         return rows, None
-    return rows.join(large, [*keys], "left_anti"), rows.join(large, [*keys], "left_semi")
+    if found <= _MAX_BROADCAST_GROUPS:
+        large = F.broadcast(large)
+        return rows.join(large, [*keys], "left_anti"), rows.join(large, [*keys], "left_semi")
+    return (
+        rows.join(large, [*keys], "left_anti").hint("rebalance"),
+        rows.join(large, [*keys], "left_semi").hint("rebalance"),
+    )
 
 
 def _pairs_in_small_groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

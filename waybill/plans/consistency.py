@@ -158,29 +158,54 @@ def consistency_profile(
     as_of: date | str | None = None,
     period: str | None = None,
 ) -> DataFrame:
+    """Route counts per partner (and period), joined only after they are counted.
+
+    Whether a route is out of contract depends on its partner and day alone, so routes are counted
+    per day before they meet the partner table.
+    """
     keys = (["period"] if period else []) + ["partner_id"]
     routes = _routes(tables, partner_id, start, end, period)
     contracts = tables.partners.select(
         "partner_id", "partner_name", "active_flag", "contract_end_date"
     )
-    total = F.count_distinct("route_id")
-    completed, stale = count_if(_completed()), count_if(_stale(as_of))
-    inverted, untimed = count_if(_inverted()), count_if(_untimed())
-    expired = count_if(_out_of_contract())
-    profile = routes.join(contracts, "partner_id").groupBy(*keys, "partner_name").agg(
-        total.alias("total_routes_assigned"),
-        stale.alias("stale_in_progress_count"),
-        safe_pct(stale, total).alias("stale_in_progress_pct"),
-        completed.alias("completed_routes_count"),
-        inverted.alias("chrono_violations_count"),
-        safe_pct(inverted, completed).alias("chrono_violations_pct"),
-        untimed.alias("gps_sync_failures_count"),
-        safe_pct(untimed, completed).alias("gps_sync_failures_pct"),
-        expired.alias("contract_expired_routes_count"),
-        safe_pct(expired, total).alias("contract_expired_routes_pct"),
+    counted = routes.groupBy(*keys).agg(
+        F.count_distinct("route_id").alias("total"),
+        count_if(_stale(as_of)).alias("stale"),
+        count_if(_completed()).alias("completed"),
+        count_if(_inverted()).alias("inverted"),
+        count_if(_untimed()).alias("untimed"),
+    )
+    expired = (
+        routes.groupBy(*keys, "route_date")
+        .agg(F.count(F.lit(1)).alias("routes"))
+        .join(contracts, "partner_id")
+        .filter(_out_of_contract())
+        .groupBy(*keys)
+        .agg(F.sum("routes").alias("expired"))
     )
     overlaps = _overlap_sums(routes, *keys)
-    return profile.join(overlaps, keys, "left").fillna(0, subset=list(_OVERLAP_COLUMNS))
+    total, completed = F.col("total"), F.col("completed")
+    return (
+        counted.join(contracts.select("partner_id", "partner_name"), "partner_id")
+        .join(expired, keys, "left")
+        .join(overlaps, keys, "left")
+        .fillna(0, subset=["expired", *_OVERLAP_COLUMNS])
+        .select(
+            *keys,
+            "partner_name",
+            total.alias("total_routes_assigned"),
+            F.col("stale").alias("stale_in_progress_count"),
+            safe_pct(F.col("stale"), total).alias("stale_in_progress_pct"),
+            completed.alias("completed_routes_count"),
+            F.col("inverted").alias("chrono_violations_count"),
+            safe_pct(F.col("inverted"), completed).alias("chrono_violations_pct"),
+            F.col("untimed").alias("gps_sync_failures_count"),
+            safe_pct(F.col("untimed"), completed).alias("gps_sync_failures_pct"),
+            *_OVERLAP_COLUMNS,
+            F.col("expired").alias("contract_expired_routes_count"),
+            safe_pct(F.col("expired"), total).alias("contract_expired_routes_pct"),
+        )
+    )
 
 
 def partner_exclusion(
