@@ -297,33 +297,35 @@ class StandIn:
 
         With ``faults`` some dates and stop counts are unreadable.
         """
-        day_first = "concat(day(day), '/', month(day), '/', year(day))"
+        dated = self.routes_new().withColumn("k", F.expr("cast(substr(route_id, 5) as bigint)"))
 
-        def stamp(minutes: str) -> str:
-            at = f"timestampadd(MINUTE, {minutes}, cast(day as timestamp_ntz))"
-            day = f"concat(day({at}), '/', month({at}), '/', year({at}))"
-            clock = f"concat(hour({at}), ':', lpad(minute({at}), 2, '0'))"
+        def day_first(c: str) -> str:
+            return f"concat(day({c}), '/', month({c}), '/', year({c}))"
+
+        def stamp(c: str) -> str:
+            short = f"concat({day_first(c)}, ' ', hour({c}), ':', lpad(minute({c}), 2, '0'))"
             return (
-                f"case k % 3 when 0 then concat({day}, ' ', {clock}, ':00') "
-                f"when 1 then concat({day}, ' ', {clock}) else cast({at} as string) end"
+                f"case k % 3 when 0 then concat({short}, ':00') when 1 then {short} "
+                f"else cast({c} as string) end"
             )
 
         bad_date = "k % 89 = 3" if faults else "false"
         bad_stops = "k % 127 = 3" if faults else "false"
         return _columns(
-            self._orders,
+            dated,
             route_status="route_status",
             route_id="route_id",
             driver_note="concat('note ', k)",
             partner_id="coalesce(partner_id, 'NULL')",
             vehicle_type_id="vehicle_type_id",
             center_id="center_id",
-            route_date=f"if(k % 3 = 0, {day_first}, cast(day as string))",
+            route_date=f"if(k % 3 = 0, {day_first('route_date')}, cast(route_date as string))",
             route_type="route_type",
-            planned_route_start_time=f"if({bad_date}, '31/31/1997', {stamp('planned_from')})",
-            planned_route_end_time=stamp("planned_to"),
-            actual_route_start_time=stamp("actual_from"),
-            actual_route_end_time=stamp("actual_to"),
+            planned_route_start_time=f"if({bad_date}, '31/31/1997', "
+            f"{stamp('planned_route_start_time')})",
+            planned_route_end_time=stamp("planned_route_end_time"),
+            actual_route_start_time=stamp("actual_route_start_time"),
+            actual_route_end_time=stamp("actual_route_end_time"),
             estimated_stops=f"case when {bad_stops} then 'many' "
             "when k % 4 = 0 then concat(estimated_stops, '.0') "
             "else cast(estimated_stops as string) end",

@@ -21,8 +21,10 @@ def blank_to_null(c: Column) -> Column:
 
 def parse_timestamp(c: Column) -> Column:
     """Day-first (``d/M/yyyy``) or ISO text to ``timestamp_ntz`` at whole seconds, decided per row."""
-    text = F.regexp_replace(F.trim(c), _DAY_FIRST, "$3-$2-$1")
-    return F.regexp_replace(text, _FRACTION, "$1").try_cast("timestamp_ntz")
+    text = F.trim(c)
+    text = F.when(text.contains("/"), F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1")).otherwise(text)
+    text = F.when(text.contains("."), F.regexp_replace(text, _FRACTION, "$1")).otherwise(text)
+    return text.try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column) -> Column:
