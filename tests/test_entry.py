@@ -1,4 +1,4 @@
-"""The registered queries against their SQL on the smallest data set."""
+"""The registered queries on the smallest data set: against their SQL, and their plans."""
 
 import math
 from pathlib import Path
@@ -40,6 +40,10 @@ def plain(value):
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_matches_sql(spark, duck, name):
     result = driver.queries()[name](spark, str(DATA))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF",
+                "MapInPandas"):
+        assert bad not in plan
     columns = sorted(result.columns)
     relation = duck.sql(driver.oracle_sql()[name])
     assert sorted(relation.columns) == columns

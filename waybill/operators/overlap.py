@@ -25,6 +25,9 @@ START = "actual_route_start_time"
 END = "actual_route_end_time"
 
 
+#: Up to so many rows, comparing the rows of a group with each other is cheaper than ranking them.
+DIRECT_UP_TO = 1_000
+
 #: Keys of this many groups take a few megabytes.
 _MAX_BROADCAST_GROUPS = 100_000
 
@@ -78,7 +81,7 @@ def overlap_pairs(
     start: str = START,
     end: str = END,
     keep: Sequence[str] = ("center_id", "vehicle_type_id"),
-    direct_up_to: int = 64,
+    direct_up_to: int = DIRECT_UP_TO,
     bucket_hours: int = 1,
 ) -> DataFrame:
     """Every overlapping pair once, ``id_a < id_b``, with the ``keep`` columns of both sides."""
@@ -146,7 +149,7 @@ def overlap_counts(
     end: str = END,
     hub: str = "center_id",
     vehicle: str = "vehicle_type_id",
-    direct_up_to: int = 64,
+    direct_up_to: int = DIRECT_UP_TO,
 ) -> DataFrame:
     """Overlaps within each group of ``keys``, reported per ``per`` (some of the keys, or all).
 
@@ -213,34 +216,32 @@ def _direct_sides(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 #: Columns the rows of a scope agree on, the columns that must be present, and the weight of the
 #: scope's pairs in ``multi_hub`` and in ``impossible_vehicle``. Pairs at different hubs are all
-#: pairs less those at one hub (per vehicle likewise); rows that repeat an id are no pair.
+#: pairs less those at one hub, and per vehicle likewise.
 _SCOPES = (
-    ((), (), 0, 0),
     ((), ("hub",), 1, 0),
     (("hub",), ("hub",), -1, 0),
     (("vehicle",), ("hub", "vehicle"), 0, 1),
     (("vehicle", "hub"), ("hub", "vehicle"), 0, -1),
-    (("id",), ("hub",), -1, 0),
-    (("id", "hub"), ("hub",), 1, 0),
-    (("id", "vehicle"), ("hub", "vehicle"), 0, -1),
-    (("id", "vehicle", "hub"), ("hub", "vehicle"), 0, 1),
 )
-_EVERY_ROW = 0
+#: Two rows with one id are no pair: the same again per id, with opposite weights.
+_REPEATED_ID_SCOPES = tuple(
+    ((*same, "id"), present, -multi_hub, -impossible)
+    for same, present, multi_hub, impossible in _SCOPES
+)
 
 
-def _in_scopes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _in_scopes(rows: DataFrame, keys: Sequence[str], scopes: Sequence[tuple]) -> DataFrame:
     """Each row once per scope it belongs to, with the scope as further key columns."""
-    columns = ("id", "hub", "vehicle")
     entries = []
-    for number, (same, present, multi_hub, impossible) in enumerate(_SCOPES):
+    for same, present, multi_hub, impossible in scopes:
         belongs = F.lit(True)
         for c in present:
             belongs = belongs & F.col(c).isNotNull()
         entry = F.struct(
-            F.lit(number).alias("scope"),
+            F.lit("+".join(same)).alias("scope"),
             *[
                 (F.col(c).cast("string") if c in same else F.lit("")).alias(f"same_{c}")
-                for c in columns
+                for c in ("id", "hub", "vehicle")
             ],
             F.lit(multi_hub).alias("multi_hub"),
             F.lit(impossible).alias("impossible"),
@@ -252,25 +253,25 @@ def _in_scopes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _ranked_sides(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per group and id its two sides, and per group (id NULL) the pair totals."""
-    scope_keys = [
-        *keys, "scope", "same_id", "same_hub", "same_vehicle", "multi_hub", "impossible"
-    ]
-    matched = _matches(_in_scopes(rows, keys), scope_keys)
-
-    whole = matched.filter(F.col("scope") == _EVERY_ROW).select(*keys, "s", "e", "hi", "lo")
     sides = (
-        rows.join(whole, [*keys, "s", "e"])
+        rows.join(_matches(rows, keys).select(*keys, "s", "e", "hi", "lo"), [*keys, "s", "e"])
         .groupBy(*keys, "id")
         .agg(
             F.max(F.col("id") < F.col("hi")).alias("is_a"),
             F.max(F.col("id") > F.col("lo")).alias("is_b"),
         )
     )
+    repeated = rows.groupBy(*keys, "id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = rows.join(repeated.select(*keys, "id"), [*keys, "id"], "left_semi")
+    scoped = _in_scopes(rows, keys, _SCOPES).unionByName(
+        _in_scopes(again, keys, _REPEATED_ID_SCOPES)
+    )
+    scope_keys = [c for c in scoped.columns if c not in ("id", "s", "e")]
     # Both rows of a pair count each other, and an interval of positive length counts itself;
     # the sums are therefore even.
     others = F.col("matches") - F.when(F.col("s") < F.col("e"), 1).otherwise(0)
     pairs = F.col("n") * others
-    totals = matched.groupBy(*keys).agg(
+    totals = _matches(scoped, scope_keys).groupBy(*keys).agg(
         F.shiftright(F.sum(pairs * F.col("multi_hub")), 1).alias("multi_hub"),
         F.shiftright(F.sum(pairs * F.col("impossible")), 1).alias("impossible"),
     )

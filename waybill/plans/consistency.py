@@ -253,16 +253,11 @@ def route_status_breakdown(tables: Tables, partner_id: str | None = None) -> Dat
 
 
 def partner_duplication(tables: Tables, partner_id: str | None = None) -> DataFrame:
-    """Repeated shipment rows on the routes of a partner.
-
-    Shipment rows are counted per route and id before the join; a repeated id joins once per route.
-    """
-    per_id = tables.shipments_new.filter(F.col("shipment_id").isNotNull()).groupBy(
-        "route_id", "shipment_id"
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """Repeated shipment rows on the routes of a partner."""
     owners = _routes(tables, partner_id, None, None).select("route_id", "partner_id")
-    raw, unique = F.sum("n"), F.count_distinct("shipment_id")
-    return per_id.join(owners, "route_id").groupBy("partner_id").agg(
+    raw, unique = F.count("shipment_id"), F.count_distinct("shipment_id")
+    joined = tables.shipments_new.select("route_id", "shipment_id").join(owners, "route_id")
+    return joined.groupBy("partner_id").agg(
         raw.alias("total_raw_shipments"),
         unique.alias("unique_shipments"),
         (raw - unique).alias("duplicate_count"),
