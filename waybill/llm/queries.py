@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontaminate, license_scan, ngram_join, packing, quality_rules, substring_dedup, url_filter
+from waybill.llm import (
+    decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter,
+)
 from waybill.sources.scratch import stored
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -22,10 +24,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), index).drop("url")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(documents, packing.tokenizer_file("piece_bpe_32k.model")).drop("text")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lm = toxicity.language_model(documents)
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), lm)
+    return toxicity.score(documents, model, lm)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = stored(quality_rules.measured(table(spark, sf_dir, "documents")).drop("text", "source", "n_chars", "lang"), "op5")
     certified = stored(quality_rules.cutoffs(features, table(spark, sf_dir, "labels")), "op5")
@@ -36,6 +50,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -50,8 +69,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_token_counts": op2_token_counts,
     "op3_ngram_join": op3_ngram_join,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_text": op6_html_text,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
