@@ -30,8 +30,8 @@ from waybill.llm.arrays import column_of, gathered
 from waybill.sources.scratch import stored
 
 CAPACITY = 2048
-#: Chunks, and pre-tokens, whose ids a Python worker keeps: some 200 bytes each.
-_CACHED = 600_000
+#: Chunks and pre-tokens whose ids a Python worker keeps, the first met: some 200 bytes each.
+_CHUNKS, _PRE_TOKENS = 450_000, 900_000
 
 
 def tokenizer_file(name: str) -> str:
@@ -46,18 +46,20 @@ _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LATIN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\s]|_)+"
 
 
-def encoder(path: str) -> Callable[[str], bytes]:
-    """Ids of a text as little-endian 32-bit integers, with those of each chunk and pre-token kept.
+def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of texts as little-endian 32-bit integers, with those of each chunk and pre-token kept.
 
     The tokenizer encodes each pre-token by itself, so a text's ids are its pre-tokens' ids; what
     this cutting could treat otherwise (special tokens, context-dependent lower case, control
     characters) goes to the tokenizer whole. The kept ids last as long as the Python worker.
     """
+    import os
     import re
 
     import regex
     import tokenizers
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = tokenizers.Tokenizer.from_file(path)
     known, chunks = tokenizers.__dict__.setdefault("kept_ids", {}).setdefault(path, ({}, {}))
     cut, latin = regex.compile(_CUT), re.compile(_LATIN)
@@ -71,27 +73,34 @@ def encoder(path: str) -> Callable[[str], bytes]:
             return cut.findall(normal("NFC", chunk).lower())
         return latin.findall(chunk.lower())
 
-    def learn(new: set[str]) -> None:
-        """Keeps the ids of chunks, encoding only pre-tokens not met before."""
+    def learned(new: set[str]) -> dict[str, bytes]:
+        """Ids of chunks; what is kept grows until it is full, as frequent chunks come early."""
         parts = {chunk: pre_tokens(chunk) for chunk in new}
         fresh = list({part for own in parts.values() for part in own if part not in known})
-        for part, ids in zip(fresh, tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            known[part] = np.asarray(ids.ids, "<u4").tobytes()
-        for chunk, own in parts.items():
-            chunks[chunk] = b"".join(map(known.__getitem__, own))
-
-    def encode(text: str) -> bytes:
-        if odd.search(text):
-            return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = text.split()
-        ids = list(map(chunks.get, parts))
-        if None in ids:
-            if len(known) > _CACHED or len(chunks) > _CACHED:
-                known.clear()
-                chunks.clear()
-            learn({part for part in parts if part not in chunks})
-            ids = map(chunks.__getitem__, parts)
-        return b"".join(ids)
+        ids = {
+            part: np.asarray(x.ids, "<u4").tobytes()
+            for part, x in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True)
+        }
+        found = {chunk: b"".join([known[x] if x in known else ids[x] for x in own]) for chunk, own in parts.items()}
+        if len(known) < _PRE_TOKENS:
+            known.update(ids)
+        if len(chunks) < _CHUNKS:
+            chunks.update(found)
+        return found
+
+    def encode(texts: list[str]) -> list[bytes]:
+        parts = [[] if odd.search(text) else text.split() for text in texts]
+        now = learned(set().union(*parts) - chunks.keys())
+        out = []
+        for text, own in zip(texts, parts, strict=True):
+            if not own and text:
+                out.append(np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            ids = list(map(chunks.get, own))
+            if None in ids:
+                ids = [now[chunk] if x is None else x for chunk, x in zip(own, ids, strict=True)]
+            out.append(b"".join(ids))
+        return out
 
     return encode
 
@@ -110,8 +119,9 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, parts
         encode = encoder(tokenizer)
         for rows in gathered(batches, "text", 1 << 22):
             out: list[tuple] = []
-            for doc_id, text in zip(column_of(rows, "doc_id").to_pylist(), column_of(rows, "text").to_pylist(), strict=True):
-                ids = encode(text or "") + b"\0\0\0\0"
+            encoded = encode([text or "" for text in column_of(rows, "text").to_pylist()])
+            for doc_id, ids in zip(column_of(rows, "doc_id").to_pylist(), encoded, strict=True):
+                ids += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     crc = zlib.crc32(own)
