@@ -37,7 +37,7 @@ WINDOW = 35
 SEED = 8
 CELLS = 31
 _SLICES = 9  # bits of a cell that number its range
-_CHUNK = 6 << 20
+_CHUNK = 3 << 20
 _SEED_BASE, _DIGEST_BASES = 0xD6E8FEB86659FD93, (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F)
 _ENTRY = np.dtype([("digest", "<u8"), ("more", "<u4"), ("doc", "<u4"), ("at", "<u4")])
 _KEY = np.dtype([("k1", "<i8"), ("k2", "<i4")])
