@@ -30,7 +30,7 @@ from waybill.sources.scratch import stored
 
 WINDOW = 10
 SAMPLED = 8
-_SHARD_BYTES = 6 << 20
+_SHARD_BYTES = 4 << 20
 
 
 class WaveletMatrix:
