@@ -24,13 +24,9 @@ def _recounted(documents: DataFrame, text: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the base rule or a certified cutoff rejects."""
-    features = quality_rules.measured(docs)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    held = stored(features.drop(*(x for x in docs.columns if x not in ("doc_id",))), "features")
-    certified = stored(quality_rules.cutoffs(held, labels), "cutoffs")
-    judged = quality_rules.judged(features, certified)
-    # rand() keeps the filter above the measures: pushed below, it would compute them many times over.
-    return judged.withColumn("kept", F.col("kept") & (F.rand(0) >= 0)).where("kept").select(*docs.columns)
+    features = stored(quality_rules.measured(docs), "features")  # with the texts: measured once
+    certified = stored(quality_rules.cutoffs(features, spark.read.parquet(f"{sf_dir}/labels.parquet")), "cutoffs")
+    return quality_rules.judged(features, certified).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
