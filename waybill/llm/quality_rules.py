@@ -38,39 +38,45 @@ def _number(text: Column, characters: str) -> Column:
     return total.cast("long")
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL in which a name stands for a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+#: One expression, so that a filter above it that Spark pushes down repeats it, but no step within it.
+_MEASURES = _let("w", r"array_remove(split(_body, '[\\x20\\x09-\\x0D]+'), '')", _let(
+    "l", r"filter(split(_body, '\n', -1), x -> x rlike '[^\\x20\\x09-\\x0D]')", _let(
+        "h", "CASE WHEN size(w) < 3 THEN cast(array() AS array<bigint>) ELSE transform(sequence(0, size(w) - 3),"
+        " i -> xxhash64(get(w, i), get(w, i + 1), get(w, i + 2))) END", _let(
+            # Only where some window repeats are they sorted, by hash and place.
+            "s", "CASE WHEN size(array_distinct(h)) = size(h) THEN cast(array() AS array<struct<h: bigint, p: int>>)"
+            " ELSE sort_array(transform(h, (x, p) -> named_struct('h', x, 'p', p))) END", _let(
+                "f", "sort_array(transform(filter(s, (x, i) -> (i > 0 AND get(s, i - 1).h = x.h)"
+                " OR (i + 1 < size(s) AND get(s, i + 1).h = x.h)), x -> x.p))",
+                "named_struct('n_words', size(w), 'n_lines', size(l), 'n_dup_lines', size(l) - size(array_distinct(l)), 'n_repeat_words',"
+                " aggregate(transform(f, (p, i) -> CASE WHEN i + 1 < size(f) THEN least(3, get(f, i + 1) - p) ELSE 3 END), 0L, (a, x) -> a + x))",
+            ),
+        ),
+    ),
+))
+
+
 def measured(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Adds the counts, the rule ratios ``_symbols`` … and ``_stratum``; no shuffle."""
     own = {*COUNTS, "_stratum", *(f"_{rule}" for rule in RULES)}
     kept = [name for name in documents.columns if name.lower() not in own]
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    lines = F.filter(F.split(body, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    df = (
-        documents.select(
-            *(F.col(f"`{name}`") for name in kept),
-            body.alias("_body"),
-            F.array_remove(F.split(body, r"[\x20\x09-\x0D]+"), "").alias("_words"),
-            lines.alias("_lines"),
-        )
-        .withColumn("n_words", F.size("_words").cast("long"))
-        .withColumn("_hashes", F.expr(
-            "CASE WHEN size(_words) < 3 THEN cast(array() AS array<bigint>) ELSE transform(sequence(0, size(_words) - 3),"
-            " i -> xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2))) END"
-        ))
-        .withColumn("_windows", F.expr(  # only where some window repeats
-            "CASE WHEN size(array_distinct(_hashes)) = size(_hashes) THEN cast(array() AS array<struct<h: bigint, p: int>>)"
-            " ELSE sort_array(transform(_hashes, (h, p) -> named_struct('h', h, 'p', p))) END"
-        ))
-        .withColumn("_found", F.expr(
-            "sort_array(transform(filter(_windows, (x, i) ->"
-            " (i > 0 AND get(_windows, i - 1).h = x.h) OR (i + 1 < size(_windows) AND get(_windows, i + 1).h = x.h)), x -> x.p))"
-        ))
-        .withColumn("n_repeat_words", F.expr(
-            "aggregate(transform(_found, (p, i) -> CASE WHEN i + 1 < size(_found) THEN least(3, get(_found, i + 1) - p) ELSE 3 END),"
-            " 0L, (a, x) -> a + x)"
-        ))
-        .withColumn("word_chars", F.length("_body") - _number(F.col("_body"), BLANKS))
-        .withColumn("n_symbols", _number(F.col("_body"), SYMBOLS))
-        .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
+    df = documents.select(
+        *(F.col(f"`{name}`") for name in kept), body.alias("_body"), F.coalesce(F.col(f"`{lang}`"), F.lit("?")).alias("_stratum")
+    )
+    df = df.withColumn("_of", F.expr(_MEASURES)).select(
+        *(F.col(f"`{name}`") for name in kept), "_body", "_stratum",
+        F.col("_of.n_words").cast("long").alias("n_words"),
+        (F.length("_body") - _number(F.col("_body"), BLANKS)).cast("long").alias("word_chars"),
+        _number(F.col("_body"), SYMBOLS).alias("n_symbols"),
+        F.col("_of.n_dup_lines").cast("long").alias("n_dup_lines"),
+        F.col("_of.n_repeat_words").cast("long").alias("n_repeat_words"),
+        F.col("_of.n_lines").alias("_n_lines"),
     )
     words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     characters = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
@@ -78,13 +84,13 @@ def measured(documents: DataFrame, text: str = "text", lang: str = "lang") -> Da
         "symbols": F.col("n_symbols") / characters,
         "marks": _number(F.col("_body"), "!?") / words,
         "repeats": F.col("n_repeat_words") / words,
-        "dup_lines": F.col("n_dup_lines") / F.greatest(F.size("_lines"), F.lit(1)).cast("double"),
+        "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("_n_lines"), F.lit(1)).cast("double"),
     }
     return df.select(
         *(F.col(f"`{name}`") for name in kept),
         *COUNTS,
         *(ratios[rule].alias(f"_{rule}") for rule in RULES),
-        F.coalesce(F.col(f"`{lang}`"), F.lit("?")).alias("_stratum"),
+        "_stratum",
     )
 
 
