@@ -126,5 +126,7 @@ def scan(
         c = _class(shingles)
         hit = " OR ".join(f"_hit{c}_{b}" for b in range(1 if c == 1 else BANDS))
         names.append(F.when(F.expr(f"({hit})") & verified(shingles, c), F.lit(name)))
-    out = df.select(*(F.col(f"`{name}`") for name in kept), F.array_compact(F.array(*names)).alias("_names"))
+    # rand() keeps a filter on the result above this step; pushed below, it would repeat every step within.
+    found = F.when(F.rand(0) >= 0, F.array_compact(F.array(*names)))
+    out = df.select(*(F.col(f"`{name}`") for name in kept), found.alias("_names"))
     return out.select(*(F.col(f"`{name}`") for name in kept), F.array_sort(F.array_distinct("_names")).alias("licenses"), F.size("_names").alias("n_hits"))
