@@ -37,7 +37,7 @@ def plain(value):
     return repr(float(value))
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(driver.QUERIES))
 def test_matches_sql(spark, duck, name):
     result = driver.queries()[name](spark, str(DATA))
     plan = result._jdf.queryExecution().executedPlan().toString()

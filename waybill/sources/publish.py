@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.functions.measures import DISPLAY
+from waybill.sources.scratch import shared_folder
 
 
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
@@ -72,8 +71,5 @@ def write_report(
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder below the shared ``spark.checkpoint.dir``; local only where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="waybill-")
-    return f"{shared.rstrip('/')}/waybill-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share; see ``scratch.shared_folder``."""
+    return shared_folder(spark)
