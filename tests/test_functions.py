@@ -115,7 +115,17 @@ def test_parse_numbers(spark):
 
 
 def test_large_whole_numbers_keep_every_digit(spark):
-    assert parsed(spark, cleaning.parse_long, "9007199254740993") == [9007199254740993]
+    assert parsed(spark, cleaning.parse_long, "9007199254740993", "9007199254740993.0", "1e30") == [
+        9007199254740993, 9007199254740993, None,
+    ]
+
+
+def test_junk_is_unreadable(spark):
+    junk = ["1d", "12f", "0x1A", "Infinity", "-inf", "1e400", "1 2", "."]
+    assert parsed(spark, cleaning.parse_long, *junk) == [None] * len(junk)
+    assert parsed(spark, cleaning.parse_double, *junk) == [None] * len(junk)
+    times = ["202504", "2025", "2025-04", "12025-04-01", "2025-04-01 08:00:00+02:00", "2025-04-01T08:00:00Z"]
+    assert parsed(spark, cleaning.parse_timestamp, *times) == [None] * len(times)
 
 
 def test_missing_tokens(spark):

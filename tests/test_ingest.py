@@ -104,6 +104,23 @@ def test_outcomes_per_table(spark, tmp_path):
     assert ingest.outcomes_frame(spark, outcomes).count() == 3
 
 
+def test_an_unreadable_file_does_not_stop_the_others(spark, tmp_path):
+    (tmp_path / "vehicle_types.csv").mkdir()
+    (tmp_path / "vehicle_types.csv" / "part.csv.gz").write_bytes(b"\x1f\x8b\x08 no gzip after that")
+    write(tmp_path / "partners.csv", "partner_id,active_flag\nP1,1\n")
+    outcomes = load_all(spark, str(tmp_path), str(tmp_path / "out"), ["vehicle_types", "partners"])
+    assert [(o.table_name, o.status) for o in outcomes] == [("vehicle_types", "failed"), ("partners", "loaded")]
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    publish.write_table(spark.range(5), path)
+    with pytest.raises(Exception, match="broken row"):
+        publish.write_table(spark.range(9).selectExpr("if(id = 7, raise_error('broken row'), id) as id"), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
 def test_partitioned_load(spark, tmp_path):
     source = write(
         tmp_path / "r.csv", "route_id,route_date\nR1,2025-04-01\nR2,2025-04-02\nR3,2025-04-02\n"

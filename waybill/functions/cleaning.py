@@ -12,7 +12,11 @@ MISSING_TOKENS = (
 )
 
 _DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
-_FRACTION = r"(:\d{1,2})\.\d+"
+_FRACTION = r"(:\d{1,2})\.\d+$"
+_STAMP = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2})?)?$"
+_CLOCK = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_WHOLE = r"^[+-]?\d+(\.0*)?$"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -20,11 +24,14 @@ def blank_to_null(c: Column) -> Column:
 
 
 def parse_timestamp(c: Column) -> Column:
-    """Day-first (``d/M/yyyy``) or ISO text to ``timestamp_ntz`` at whole seconds, decided per row."""
+    """Day-first (``d/M/yyyy``) or ISO text to ``timestamp_ntz`` at whole seconds, decided per row.
+
+    A year alone, a year of other than four digits, and a time with an offset are unreadable.
+    """
     text = F.trim(c)
     text = F.when(text.contains("/"), F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1")).otherwise(text)
     text = F.when(text.contains("."), F.regexp_replace(text, _FRACTION, "$1")).otherwise(text)
-    return text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(_STAMP), text.try_cast("timestamp_ntz"))
 
 
 def parse_date(c: Column) -> Column:
@@ -40,19 +47,26 @@ def complete_time(c: Column) -> Column:
 def time_on_date(date: Column, time_text: Column) -> Column:
     """A clock time placed on a calendar date."""
     stamped = F.concat(date.cast("string"), F.lit(" "), complete_time(time_text))
-    return stamped.try_cast("timestamp_ntz")
+    return F.when(F.trim(time_text).rlike(_CLOCK), stamped.try_cast("timestamp_ntz"))
 
 
 def parse_double(c: Column) -> Column:
-    value = F.trim(c).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """Finite decimal numbers; type suffixes, ``Infinity`` and values beyond a double are unreadable."""
+    text = F.trim(c)
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def parse_long(c: Column) -> Column:
-    """Whole numbers, also when written as ``3.0`` or ``1e3``; a fraction is unreadable."""
-    value = parse_double(c)
-    whole = F.when(value == F.floor(value), value.try_cast("long"))
-    return F.coalesce(F.trim(c).try_cast("long"), whole)
+    """Whole numbers, also when written as ``3.0`` or ``1e3``; a fraction is unreadable.
+
+    Digits never pass through a double.
+    """
+    text = F.trim(c)
+    plain = F.regexp_replace(text, r"\.0*$", "").try_cast("long")
+    value = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,10)"))
+    scaled = F.when(text.rlike("[eE]") & (value == F.floor(value)), value.try_cast("long"))
+    return F.when(text.rlike(_WHOLE), plain).otherwise(scaled)
 
 
 def iso_date(c: Column) -> Column:

@@ -253,10 +253,13 @@ def route_status_breakdown(tables: Tables, partner_id: str | None = None) -> Dat
 
 
 def partner_duplication(tables: Tables, partner_id: str | None = None) -> DataFrame:
-    """Repeated shipment rows on the routes of a partner."""
+    """Repeated shipment rows on the routes of a partner; counted per shipment before the join."""
     owners = _routes(tables, partner_id, None, None).select("route_id", "partner_id")
-    raw, unique = F.count("shipment_id"), F.count_distinct("shipment_id")
-    joined = tables.shipments_new.select("route_id", "shipment_id").join(owners, "route_id")
+    counted = tables.shipments_new.groupBy("route_id", "shipment_id").agg(
+        F.count("shipment_id").alias("rows")
+    )
+    raw, unique = F.sum("rows"), F.count_distinct("shipment_id")
+    joined = counted.join(owners, "route_id")
     return joined.groupBy("partner_id").agg(
         raw.alias("total_raw_shipments"),
         unique.alias("unique_shipments"),

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Iterable
 from dataclasses import astuple, dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -175,7 +176,7 @@ def load_all(
             outcome = load_table(spark, table, source, target, strict, quoted_newlines)
         except MissingColumn:
             raise
-        except (RejectedValues, PySparkException) as error:
+        except (RejectedValues, PySparkException, Py4JJavaError, OSError) as error:
             log.error("%s: load failed: %s", table, error)
             outcome = Outcome(table, "failed", message=str(error))
         outcomes.append(outcome)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import uuid
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,11 +12,34 @@ from waybill.sources.scratch import shared_folder
 
 
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    """Replace a parquet table."""
+    """Replace a parquet table; the old one stays until the new one is written whole.
+
+    The new table is written beside the old one, which also allows ``df`` to read the old one.
+    """
     columns = list(partition_by)
     if columns:
         df = df.hint("rebalance", *columns)
-    df.write.mode("overwrite").partitionBy(*columns).parquet(path)
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*columns).parquet(staged)
+    except Exception:
+        _files(df.sparkSession, staged, lambda fs, new: fs.delete(new, True))
+        raise
+    _replace(df.sparkSession, staged, path)
+
+
+def _files(spark: SparkSession, path: str, act: Callable[..., bool]) -> bool:
+    """Acts on a path by means of the file system it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return act(place.getFileSystem(spark._jsc.hadoopConfiguration()), place)
+
+
+def _replace(spark: SparkSession, staged: str, path: str) -> None:
+    old = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _files(spark, path, lambda fs, place: fs.delete(place, True))
+    if not _files(spark, staged, lambda fs, new: fs.rename(new, old)):
+        raise OSError(f"{staged} holds the new table, but could not be renamed to {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def publish_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
