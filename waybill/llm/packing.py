@@ -8,8 +8,9 @@ totals for each further length (an integer whose bit t says that total t can be
 Only lengths matter for that, and there are at most ``capacity`` different ones, so the program runs
 on a table of at most that many (length, count) rows, whatever the number of documents, and repeats
 a combination as often as its lengths last. Documents are then dealt to the combinations' slots by
-their rank within their length; ranks are counted per salted part of a length, so that no task holds
-all documents of one length, and the slots are a broadcast table whose size depends on ``capacity``.
+their rank within their length; ranks are counted apart for each task that cut pieces, so that no group
+is larger than one task's input, whatever copies the corpus holds, and the slots are a broadcast table
+whose size depends on ``capacity``.
 
 Cases: null and empty texts are a piece of one closing id. Repeated rows are packed each. A text of
 any length is cut. An empty table gives an empty plan. Rows need no unique doc_id.
@@ -23,6 +24,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,15 +110,15 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 _PIECES = "doc_id long, part int, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, parts: int = 64) -> DataFrame:
+def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of every document with their lengths and checksums; a pass without a shuffle.
 
-    ``part`` spreads each length over so many ranks' counters.
+    ``part`` is the number of the task that cut the piece.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode, part = encoder(tokenizer), TaskContext.get().partitionId()
         for rows in gathered(batches, "text", 1 << 22):
             out: list[tuple] = []
             encoded = encode([text or "" for text in column_of(rows, "text").to_pylist()])
@@ -124,8 +126,7 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, parts
                 ids += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
-                    crc = zlib.crc32(own)
-                    out.append((doc_id, (crc + piece) % parts, piece, at // 4, len(own) // 4, crc))
+                    out.append((doc_id, part, piece, at // 4, len(own) // 4, zlib.crc32(own)))
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
@@ -194,14 +195,14 @@ def slots(combinations: Iterable[tuple[list[int], int]]) -> list[tuple[int, int,
     return out
 
 
-def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, parts: int = 64) -> DataFrame:
+def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row a piece.
 
     Tokenizes once: the pieces are written to the shared folder and read for the counts and the plan.
     """
     spark = documents.sparkSession
-    cut = stored(pieces(documents, tokenizer, capacity, parts), "pieces")
-    by_part = cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))  # at most capacity x parts rows
+    cut = stored(pieces(documents, tokenizer, capacity), "pieces")
+    by_part = cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first_rank = by_part.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     counts = {row["length"]: row["n"] for row in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -224,7 +225,7 @@ def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, parts:
     order = Window.partitionBy("length", "part").orderBy("ids_crc32", "doc_id", "piece")
     ranked = (
         cut.withColumn("_row", F.row_number().over(order))
-        .join(F.broadcast(first_rank), ["length", "part"])
+        .join(first_rank, ["length", "part"])
         .withColumn("rank", F.col("before") + F.col("_row") - 1)
     )
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
