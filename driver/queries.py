@@ -19,7 +19,7 @@ from waybill.operators.latest import (
     latest_record,
     latest_record_agg,
 )
-from waybill.operators.overlap import overlap_pairs
+from waybill.operators.overlap import overlap_counts, overlaps_per_interval
 from waybill.operators.scope import ReportScope
 from waybill.plans import audit, consistency, effectiveness, kpi, local_time, productivity
 from waybill.plans import punctuality as oth
@@ -407,14 +407,34 @@ def _(s: StandIn) -> DataFrame:
 
 @query(
     "overlap_pairs",
-    """SELECT partner_id, route_date::VARCHAR AS route_date, id_a, id_b,
-        start_a::VARCHAR AS start_a, start_b::VARCHAR AS start_b,
-        end_a::VARCHAR AS end_a, end_b::VARCHAR AS end_b,
-        center_id_a, center_id_b, vehicle_type_id_a, vehicle_type_id_b
-    FROM overlapping""",
+    f"""SELECT partner_id, route_date::VARCHAR AS route_date, route_id,
+        count(*)::BIGINT AS overlaps, {count_if("center_id_a <> center_id_b")} AS multi_hub,
+        {count_if("center_id_a <> center_id_b AND vehicle_type_id_a = vehicle_type_id_b")}
+            AS impossible_vehicle
+    FROM (SELECT *, unnest([id_a, id_b]) AS route_id FROM overlapping)
+    GROUP BY ALL""",
+)
+def _(s: StandIn) -> DataFrame:
+    return overlaps_per_interval(s.routes_new())
+
+
+@query(
+    "overlap_crowded",
+    f"""SELECT a.partner_id, year(a.route_date)::BIGINT AS route_year,
+        count(DISTINCT a.route_id)::BIGINT AS as_a, count(DISTINCT b.route_id)::BIGINT AS as_b,
+        {count_if("a.center_id <> b.center_id")} AS multi_hub,
+        {count_if("a.center_id <> b.center_id AND a.vehicle_type_id = b.vehicle_type_id")}
+            AS impossible_vehicle
+    FROM routes_new a JOIN routes_new b
+      ON a.partner_id = b.partner_id AND year(a.route_date) = year(b.route_date)
+     AND a.route_id < b.route_id
+    WHERE b.actual_route_start_time < a.actual_route_end_time
+      AND b.actual_route_end_time > a.actual_route_start_time
+    GROUP BY ALL""",
 )
 def _(s: StandIn) -> DataFrame:
-    return overlap_pairs(s.routes_new())
+    routes = s.routes_new().withColumn("route_year", F.year("route_date").cast("long"))
+    return overlap_counts(routes, keys=("partner_id", "route_year"), direct_up_to=0)
 
 
 @query(

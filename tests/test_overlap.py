@@ -5,8 +5,12 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from tests.frames import at, day
-from waybill.operators import overlap
-from waybill.operators.overlap import adjacent_overlaps, overlap_counts, overlap_pairs
+from waybill.operators.overlap import (
+    adjacent_overlaps,
+    overlap_counts,
+    overlap_pairs,
+    overlaps_per_interval,
+)
 
 SCHEMA = (
     "route_id string, partner_id string, route_date date, center_id string, "
@@ -77,12 +81,30 @@ def test_an_id_repeated_over_days_counts_once_per_partner(spark, direct_up_to):
     } == brute_counts(routes, lambda a: a[1])
 
 
-def test_many_large_groups_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(overlap, "_MAX_BROADCAST_GROUPS", 0)
-    routes = random_routes(seed=13, n=90)
-    df = spark.createDataFrame(routes, SCHEMA)
-    got = overlap_pairs(df, direct_up_to=40)
-    assert got.count() == sum(1 for _ in brute_pairs(routes))
+def test_overlaps_per_interval_match_brute_force(spark):
+    routes = random_routes(seed=13)
+    wanted = {}
+    for a, b in brute_pairs(routes):
+        apart = None not in (a[3], b[3]) and a[3] != b[3]
+        for mine in (a, b):
+            found = wanted.setdefault((*mine[1:3], mine[0]), [0, 0, 0])
+            found[0] += 1
+            found[1] += apart
+            found[2] += apart and a[4] is not None and a[4] == b[4]
+    got = overlaps_per_interval(spark.createDataFrame(routes, SCHEMA))
+    assert {
+        (r.partner_id, r.route_date, r.route_id): [r.overlaps, r.multi_hub, r.impossible_vehicle]
+        for r in got.collect()
+    } == wanted
+
+
+def test_building_a_frame_starts_no_job(spark):
+    df = spark.createDataFrame(random_routes(seed=17, n=20), SCHEMA)
+    spark.sparkContext.setJobGroup("overlap-frames", "")
+    overlap_counts(df)
+    overlap_pairs(df)
+    overlaps_per_interval(df)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("overlap-frames")
 
 
 @pytest.mark.parametrize("direct_up_to", [0, 40, 10_000])

@@ -4,9 +4,14 @@ Two intervals overlap when each one starts before the other one ends. An inverte
 before start) is not repaired: it overlaps exactly those intervals for which the two comparisons
 hold. All functions need only the sort order of the times, so they fit any time resolution.
 
-- ``overlap_pairs`` lists the overlapping pairs.
+- ``overlap_pairs`` lists the overlapping pairs: a drill-down for chosen groups, as there may be
+  quadratically many.
+- ``overlaps_per_interval`` gives each interval's number of overlaps.
 - ``overlap_counts`` gives the summary numbers without listing pairs, at a cost that grows with the
   rows of a group, not with the square of them.
+
+Where two ways suit groups of different size, one lazy plan holds both and each row takes its
+group's; building a frame starts no job.
 - ``adjacent_overlaps`` compares each interval only with the next one to start.
 """
 
@@ -25,13 +30,6 @@ START = "actual_route_start_time"
 END = "actual_route_end_time"
 
 
-#: Up to so many rows, comparing the rows of a group with each other is cheaper than ranking them.
-DIRECT_UP_TO = 1_000
-
-#: Keys of this many groups take a few megabytes.
-_MAX_BROADCAST_GROUPS = 100_000
-
-
 def _intervals(
     routes: DataFrame, keys: Sequence[str], id_col: str, start: str, end: str, *keep: str
 ) -> DataFrame:
@@ -43,26 +41,13 @@ def _intervals(
 
 def _small_and_large(
     rows: DataFrame, keys: Sequence[str], direct_up_to: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of groups up to a size, and rows of larger groups (``None`` if there are none).
-
-    Comparing the rows of a group with each other is bounded per row only in a small group. Whether
-    there are large ones is looked up with one counting job, as most data has none.
-
-    The rows must not be gathered per group here, where one group may hold a large share of them:
-    the list of large groups is broadcast if its counted length allows, and otherwise the rows are
-    spread again after the join (which also lets Spark split a skewed join partition).
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of groups up to a size, and rows of larger groups, which are spread again: the join must
+    not leave a group that holds a large share of the rows in one task."""
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     large = sizes.filter(F.col("n") > direct_up_to).select(*keys)
-    found = large.count()
-    if found == 0:
-        return rows, None
-    if found <= _MAX_BROADCAST_GROUPS:
-        large = F.broadcast(large)
-        return rows.join(large, [*keys], "left_anti"), rows.join(large, [*keys], "left_semi")
     return (
-        rows.join(large, [*keys], "left_anti").hint("rebalance"),
+        rows.join(large, [*keys], "left_anti"),
         rows.join(large, [*keys], "left_semi").hint("rebalance"),
     )
 
@@ -81,10 +66,14 @@ def overlap_pairs(
     start: str = START,
     end: str = END,
     keep: Sequence[str] = ("center_id", "vehicle_type_id"),
-    direct_up_to: int = DIRECT_UP_TO,
+    direct_up_to: int = 1_000,
     bucket_hours: int = 1,
 ) -> DataFrame:
-    """Every overlapping pair once, ``id_a < id_b``, with the ``keep`` columns of both sides."""
+    """Every overlapping pair once, ``id_a < id_b``, with the ``keep`` columns of both sides.
+
+    Groups of up to ``direct_up_to`` rows compare their rows with each other, larger ones are split
+    by time; the result is the same.
+    """
     rows = _intervals(routes, keys, id_col, start, end, *keep)
     names = {"id": "id", "s": "start", "e": "end", **{c: c for c in keep}}
     small, large = _small_and_large(rows, keys, direct_up_to)
@@ -92,13 +81,12 @@ def overlap_pairs(
         F.col(f"{c}{mark}").alias(f"{name}_{side}")
         for c, name in names.items() for mark, side in (("", "a"), ("_b", "b"))
     ])
-    if large is None:
-        return pairs
     return pairs.unionByName(_pairs_by_bucket(large, keys, names, bucket_hours * 3600))
 
 
-#: An interval is copied into so many buckets at most.
-_MAX_COPIES = 48
+#: Buckets of one level make up a bucket of the next, and levels there are: hours, two days, 96 days,
+#: twelve years.
+_FAN_OUT, _LEVELS = 48, 4
 
 
 def _pairs_by_bucket(
@@ -107,18 +95,25 @@ def _pairs_by_bucket(
     """Of two overlapping intervals, one starts while the other is open: each start is looked up in
     the open intervals of its time bucket.
 
-    A crowded group is split by bucket, and a pair meets in one bucket only. Intervals that cover
-    too many buckets are open nearly everywhere in their group and join on the keys alone.
+    A crowded group is split by bucket, and a pair meets in one bucket only. An interval is entered
+    at the finest level at which it covers few buckets, and a start asks at every level.
     """
-    first = F.floor(epoch_seconds(F.col("s")) / seconds)
-    last = F.floor(epoch_seconds(F.col("e")) / seconds)
+    def bucket(t: str, level: Column) -> Column:
+        return F.floor(epoch_seconds(F.col(t)) / (seconds * F.pow(F.lit(_FAN_OUT), level)))
+
+    covered = bucket("e", F.lit(0)) - bucket("s", F.lit(0))
+    level = F.lit(_LEVELS - 1)
+    for i in reversed(range(_LEVELS - 1)):
+        level = F.when(covered < _FAN_OUT ** (i + 1), i).otherwise(level)
     opened = (
         rows.filter(F.col("s") < F.col("e"))
-        .withColumns({"first": first, "last": last})
+        .withColumn("level", level)
+        .withColumn("bucket", F.explode(F.sequence(bucket("s", F.col("level")), bucket("e", F.col("level")))))
         .withColumnsRenamed({c: f"o_{c}" for c in names})
     )
-    is_long = F.col("last") - F.col("first") >= _MAX_COPIES
-    short = opened.filter(~is_long).withColumn("bucket", F.explode(F.sequence("first", "last")))
+    starts = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1)))).withColumn(
+        "bucket", bucket("s", F.col("level"))
+    )
     met = (
         (F.col("o_id") != F.col("id"))
         & (F.col("o_s") <= F.col("s"))
@@ -127,17 +122,14 @@ def _pairs_by_bucket(
         # Equal starts: either side could be the open one; the smaller id is.
         & ((F.col("o_s") < F.col("s")) | (F.col("o_id") < F.col("id")))
     )
-    found = [
-        short.join(rows.withColumn("bucket", first), [*keys, "bucket"]).filter(met),
-        opened.filter(is_long).join(rows, [*keys]).filter(met),
-    ]
+    found = opened.join(starts, [*keys, "level", "bucket"]).filter(met)
     start_is_a = F.col("id") < F.col("o_id")
     columns = [*keys]
     for c, name in names.items():
         mine, other = F.col(c), F.col(f"o_{c}")
         columns.append(F.when(start_is_a, mine).otherwise(other).alias(f"{name}_a"))
         columns.append(F.when(start_is_a, other).otherwise(mine).alias(f"{name}_b"))
-    return found[0].select(*columns).unionByName(found[1].select(*columns))
+    return found.select(*columns)
 
 
 def overlap_counts(
@@ -149,7 +141,7 @@ def overlap_counts(
     end: str = END,
     hub: str = "center_id",
     vehicle: str = "vehicle_type_id",
-    direct_up_to: int = DIRECT_UP_TO,
+    direct_up_to: int = 1_000,
 ) -> DataFrame:
     """Overlaps within each group of ``keys``, reported per ``per`` (some of the keys, or all).
 
@@ -157,15 +149,14 @@ def overlap_counts(
     ``multi_hub`` and ``impossible_vehicle`` are pairs at different hubs and, of these, those with
     the same vehicle. Nothing is reported for a group without an overlap.
 
-    Small groups compare their rows with each other, larger ones go through ``_ranked_sides``.
+    Groups of up to ``direct_up_to`` rows compare their rows with each other, larger ones go through
+    ``_ranked_sides``; the result is the same.
     """
     per = list(keys if per is None else per)
     rows = _intervals(routes, keys, id_col, start, end, hub, vehicle)
     rows = rows.withColumnsRenamed({hub: "hub", vehicle: "vehicle"})
     small, large = _small_and_large(rows, keys, direct_up_to)
-    sides = _direct_sides(small, keys)
-    if large is not None:
-        sides = sides.unionByName(_ranked_sides(large, keys))
+    sides = _direct_sides(small, keys).unionByName(_ranked_sides(large, keys))
     return (
         sides.groupBy(*per, "id")
         .agg(
@@ -214,43 +205,82 @@ def _direct_sides(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-#: Columns the rows of a scope agree on, the columns that must be present, and the weight of the
-#: scope's pairs in ``multi_hub`` and in ``impossible_vehicle``. Pairs at different hubs are all
-#: pairs less those at one hub, and per vehicle likewise.
-_SCOPES = (
-    ((), ("hub",), 1, 0),
-    (("hub",), ("hub",), -1, 0),
-    (("vehicle",), ("hub", "vehicle"), 0, 1),
-    (("vehicle", "hub"), ("hub", "vehicle"), 0, -1),
-)
-#: Two rows with one id are no pair: the same again per id, with opposite weights.
-_REPEATED_ID_SCOPES = tuple(
-    ((*same, "id"), present, -multi_hub, -impossible)
-    for same, present, multi_hub, impossible in _SCOPES
+#: Columns the rows of a scope agree on, the columns that must be present, and the weights of the
+#: scope's pairs in the sums below. Pairs at different hubs are all pairs less those at one hub, and
+#: per vehicle likewise.
+_SUMS = ("overlaps", "multi_hub", "impossible")
+_ALL = ((), (), (1, 0, 0))
+_APART = (
+    ((), ("hub",), (0, 1, 0)),
+    (("hub",), ("hub",), (0, -1, 0)),
+    (("vehicle",), ("hub", "vehicle"), (0, 0, 1)),
+    (("vehicle", "hub"), ("hub", "vehicle"), (0, 0, -1)),
 )
 
 
 def _in_scopes(rows: DataFrame, keys: Sequence[str], scopes: Sequence[tuple]) -> DataFrame:
     """Each row once per scope it belongs to, with the scope as further key columns."""
     entries = []
-    for same, present, multi_hub, impossible in scopes:
+    for same, present, weights in scopes:
         belongs = F.lit(True)
         for c in present:
             belongs = belongs & F.col(c).isNotNull()
         entry = F.struct(
-            F.lit("+".join(same)).alias("scope"),
+            F.lit(f"{'+'.join(same)} of {'+'.join(present)}").alias("scope"),
             *[
                 (F.col(c).cast("string") if c in same else F.lit("")).alias(f"same_{c}")
                 for c in ("id", "hub", "vehicle")
             ],
-            F.lit(multi_hub).alias("multi_hub"),
-            F.lit(impossible).alias("impossible"),
+            *[F.lit(weight).alias(name) for name, weight in zip(_SUMS, weights, strict=True)],
         )
         entries.append(F.when(belongs, entry))
     scoped = rows.select("*", F.explode(F.array_compact(F.array(*entries))).alias("in"))
     return scoped.select(*keys, "id", "s", "e", "in.*")
 
 
+def _scoped(rows: DataFrame, keys: Sequence[str], scopes: Sequence[tuple]) -> DataFrame:
+    """Rows in their scopes. Two rows with one id are no pair: ids that occur again are entered once
+    more per id, with opposite weights."""
+    repeated = rows.groupBy(*keys, "id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = rows.join(repeated.select(*keys, "id"), [*keys, "id"], "left_semi")
+    per_id = [((*same, "id"), present, tuple(-w for w in ws)) for same, present, ws in scopes]
+    return _in_scopes(rows, keys, scopes).unionByName(_in_scopes(again, keys, per_id))
+
+
+def _others() -> Column:
+    """Matches of a row without itself: an interval of positive length overlaps itself."""
+    return F.col("matches") - F.when(F.col("s") < F.col("e"), 1).otherwise(0)
+
+
+def overlaps_per_interval(
+    routes: DataFrame,
+    keys: Sequence[str] = PARTNER_DAY,
+    id_col: str = "route_id",
+    start: str = START,
+    end: str = END,
+    hub: str = "center_id",
+    vehicle: str = "vehicle_type_id",
+) -> DataFrame:
+    """Per id that overlaps others: in how many overlapping pairs it is, in how many of these the
+    hubs differ, and of those in how many the vehicle is the same. At most one row an id and group."""
+    rows = _intervals(routes, keys, id_col, start, end, hub, vehicle)
+    rows = rows.withColumnsRenamed({hub: "hub", vehicle: "vehicle"})
+    scoped = _scoped(rows, keys, (_ALL, *_APART))
+    scope_keys = [c for c in scoped.columns if c not in ("id", "s", "e")]
+    others = _matches(scoped, scope_keys).select(*scope_keys, "s", "e", _others().alias("others"))
+    overlaps, multi_hub, impossible = (F.sum(F.col("others") * F.col(c)) for c in _SUMS)
+    return (
+        scoped.join(others, [*scope_keys, "s", "e"])
+        .groupBy(*keys, F.col("id").alias(id_col))
+        .agg(
+            overlaps.alias("overlaps"),
+            multi_hub.alias("multi_hub"),
+            impossible.alias("impossible_vehicle"),
+        )
+        .filter("overlaps > 0")
+    )
+
+
 def _ranked_sides(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per group and id its two sides, and per group (id NULL) the pair totals."""
     sides = (
@@ -261,16 +291,10 @@ def _ranked_sides(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.max(F.col("id") > F.col("lo")).alias("is_b"),
         )
     )
-    repeated = rows.groupBy(*keys, "id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = rows.join(repeated.select(*keys, "id"), [*keys, "id"], "left_semi")
-    scoped = _in_scopes(rows, keys, _SCOPES).unionByName(
-        _in_scopes(again, keys, _REPEATED_ID_SCOPES)
-    )
+    scoped = _scoped(rows, keys, _APART)
     scope_keys = [c for c in scoped.columns if c not in ("id", "s", "e")]
-    # Both rows of a pair count each other, and an interval of positive length counts itself;
-    # the sums are therefore even.
-    others = F.col("matches") - F.when(F.col("s") < F.col("e"), 1).otherwise(0)
-    pairs = F.col("n") * others
+    # Both rows of a pair count each other; the sums are therefore even.
+    pairs = F.col("n") * _others()
     totals = _matches(scoped, scope_keys).groupBy(*keys).agg(
         F.shiftright(F.sum(pairs * F.col("multi_hub")), 1).alias("multi_hub"),
         F.shiftright(F.sum(pairs * F.col("impossible")), 1).alias("impossible"),
