@@ -34,6 +34,8 @@ from waybill.sources.scratch import stored
 CAPACITY = 2048
 #: Chunks and pre-tokens whose ids a Python worker keeps, the first met: some 200 bytes each.
 _CHUNKS, _PRE_TOKENS = 450_000, 900_000
+#: Pre-tokens encoded at once.
+_BATCH = 4096
 
 
 def tokenizer_file(name: str) -> str:
@@ -79,10 +81,11 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         """Ids of chunks; what is kept grows until it is full, as frequent chunks come early."""
         parts = {chunk: pre_tokens(chunk) for chunk in new}
         fresh = list({part for own in parts.values() for part in own if part not in known})
-        ids = {
-            part: np.asarray(x.ids, "<u4").tobytes()
-            for part, x in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True)
-        }
+        ids = {}
+        for at in range(0, len(fresh), _BATCH):  # the tokenizer's results are far larger than the ids
+            own = fresh[at : at + _BATCH]
+            encoded = tokenizer.encode_batch_fast(own, add_special_tokens=False)
+            ids.update((part, np.asarray(x.ids, "<u4").tobytes()) for part, x in zip(own, encoded, strict=True))
         found = {chunk: b"".join([known[x] if x in known else ids[x] for x in own]) for chunk, own in parts.items()}
         if len(known) < _PRE_TOKENS:
             known.update(ids)
@@ -119,7 +122,7 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Da
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer), TaskContext.get().partitionId()
-        for rows in gathered(batches, "text", 1 << 22):
+        for rows in gathered(batches, "text", 1 << 20):
             out: list[tuple] = []
             encoded = encode([text or "" for text in column_of(rows, "text").to_pylist()])
             for doc_id, ids in zip(column_of(rows, "doc_id").to_pylist(), encoded, strict=True):
