@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import (
-    decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter,
+    decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter, whitening,
 )
 from waybill.sources.scratch import stored
 
@@ -67,6 +67,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.tokenizer_file("word_bpe_49k.json"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {
