@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import (
-    decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter, whitening,
+    bpe, decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter, whitening,
 )
 from waybill.sources.scratch import stored
 
@@ -67,6 +67,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.decode(bpe.encode(documents, ranks, public_tokenizers.PATTERN), ranks)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.transform("ids", lambda i: i.cast("string"))), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"), components=4)
 
@@ -82,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op11_bpe": op11_bpe,
     "op13_whitening": op13_whitening,
 }
 
