@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import (
-    bpe, decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter, whitening,
+    bpe, collocations, decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filter, whitening,
 )
 from waybill.sources.scratch import stored
 
@@ -81,6 +81,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), min_count=10, top=2000)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"), components=4)
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
     "op11_bpe": op11_bpe,
+    "op12_collocations": op12_collocations,
     "op13_whitening": op13_whitening,
 }
 
@@ -118,4 +123,53 @@ SQL: dict[str, str] = {
         SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
         FROM judged
     """,
+    "op12_collocations": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), p AS (
+            SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM d
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM p
+        ), g AS (
+            SELECT lang, ws[i] AS a1, ws[i + 1] AS a2, ws[i + 2] AS a3
+            FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0)
+        ), uni AS (
+            SELECT lang, a1 AS w, count(*) AS f FROM g GROUP BY lang, a1
+        ), n AS (
+            SELECT lang, sum(f) AS n FROM uni GROUP BY lang
+        ), bi AS (
+            SELECT lang, a1, a2, count(*) AS f FROM g WHERE a2 IS NOT NULL GROUP BY lang, a1, a2
+        ), tri AS (
+            SELECT lang, a1, a2, a3, count(*) AS f FROM g WHERE a3 IS NOT NULL GROUP BY lang, a1, a2, a3
+        ), two AS (
+            SELECT b.lang, b.a1 || ' ' || b.a2 AS phrase, b.f AS a, u1.f AS l, u2.f AS r
+            FROM bi b JOIN uni u1 ON u1.lang = b.lang AND u1.w = b.a1 JOIN uni u2 ON u2.lang = b.lang AND u2.w = b.a2
+            WHERE b.f >= 10 AND NOT EXISTS (
+                SELECT 1 FROM tri t WHERE t.lang = b.lang AND t.f >= 10 AND 100 * t.f >= 50 * b.f
+                  AND ((t.a1 = b.a1 AND t.a2 = b.a2) OR (t.a2 = b.a1 AND t.a3 = b.a2)))
+        ), three AS (
+            SELECT t.lang, t.a1 || ' ' || t.a2 || ' ' || t.a3 AS phrase, t.f AS a,
+                   u1.f AS l1, b23.f AS r1, b12.f AS l2, u3.f AS r2
+            FROM tri t
+            JOIN uni u1 ON u1.lang = t.lang AND u1.w = t.a1
+            JOIN uni u3 ON u3.lang = t.lang AND u3.w = t.a3
+            JOIN bi b12 ON b12.lang = t.lang AND b12.a1 = t.a1 AND b12.a2 = t.a2
+            JOIN bi b23 ON b23.lang = t.lang AND b23.a1 = t.a2 AND b23.a2 = t.a3
+            WHERE t.f >= 10
+        ), scored AS (
+            SELECT lang, phrase, a, l, r, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM two
+            UNION ALL
+            SELECT lang, phrase, a,
+                   CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+            FROM (SELECT *, (1000000::HUGEINT * a * a) // (l1::HUGEINT * r1) AS s1, (1000000::HUGEINT * a * a) // (l2::HUGEINT * r2) AS s2 FROM three)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase ASC) AS rank FROM scored
+        )
+        SELECT r.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+               CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked r JOIN n ON n.lang = r.lang
+        WHERE rank <= 2000
+    """,
 }
