@@ -14,8 +14,8 @@ through two tiers:
    among equal ranks the leftmost pair, is merged; entries whose nodes changed since are skipped, and
    the merged node's new pairs with its neighbours are pushed. Pair ranks come from the same hash.
 
-The table is built once per Python worker from the ranks file (its path is a parameter; every worker
-reads it) and kept in this module. Pre-tokens not in the vocabulary and their ids are kept in a
+The table is built once on the driver from the ranks file (its path is a parameter) and broadcast;
+its size is bounded by the vocabulary's. Pre-tokens not in the vocabulary and their ids are kept in a
 per-worker memo that is emptied when it holds ``MEMO`` entries; it changes no result.
 
 Decoding joins the byte strings of the ids.
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-MEMO = 1_000_000
+from waybill.llm.arrays import column_of, gathered
+
+MEMO = 200_000
+SLICE_BYTES = 2 << 20
 _TABLES: dict[str, "Vocabulary"] = {}
 
 
@@ -124,13 +128,26 @@ class Vocabulary:
         self.keys = keys
         self.ranks = ranks
         self.table = PerfectHash(keys)
-        self.by_id: dict[int, bytes] = dict(zip(ranks, keys))
+        self._ready()
+
+    def __getstate__(self) -> dict:
+        """What a task needs: the strings, their ranks and the hash's arrays (no memo, no closures)."""
+        return {"keys": self.keys, "ranks": self.ranks, "table": self.table}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._ready()
+
+    def _ready(self) -> None:
+        self.by_id: list[bytes | None] = [None] * (max(self.ranks, default=-1) + 1)
+        for key, rank in zip(self.keys, self.ranks):
+            self.by_id[rank] = key
         self.memo: dict[bytes, list[int]] = {}
         self.fast_rank = self.ranker()
         self.byte_ids = [self.rank(bytes([b])) for b in range(256)]
         self.pair_ids = [self.rank(bytes([a, b])) for a in range(256) for b in range(256)]  # two-byte lookups, once
         if None in self.byte_ids:
-            raise ValueError(f"{path}: not every byte is a token, so this is no byte-level vocabulary")
+            raise ValueError("not every byte is a token, so this is no byte-level vocabulary")
 
     def rank(self, piece: bytes) -> int | None:
         i = self.table.index(piece)
@@ -207,7 +224,7 @@ class Vocabulary:
 
 
 def vocabulary(path: str) -> Vocabulary:
-    """The worker's table for this ranks file, built on first use."""
+    """The table for this ranks file, built on first use in this process."""
     if path not in _TABLES:
         _TABLES[path] = Vocabulary(path)
     return _TABLES[path]
@@ -221,43 +238,74 @@ def encode_text(text: str | None, vocab: Vocabulary, pattern: regex.Pattern) ->
     return out
 
 
-def encode_texts(texts: list[str | None], vocab: Vocabulary, pattern: regex.Pattern) -> list[list[int]]:
-    """Ids of each text; a pre-token met several times in the batch is looked up once."""
-    cut = [pattern.findall(t) if t else [] for t in texts]
+def encode_flat(texts: list[str | None], vocab: Vocabulary, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and ids of all texts; a pre-token met several times in the call is looked up once."""
     known: dict[str, list[int]] = {}
-    for pieces in cut:
-        for piece in pieces:
-            if piece not in known:
-                known[piece] = vocab.encode_piece(piece.encode("utf-8"))
-    return [[i for piece in pieces for i in known[piece]] for pieces in cut]
+    ids = array("i")
+    offsets = np.zeros(len(texts) + 1, np.int64)
+    for row, text in enumerate(texts):
+        for piece in pattern.findall(text) if text else ():
+            found = known.get(piece)
+            if found is None:
+                found = known[piece] = vocab.encode_piece(piece.encode("utf-8"))
+            ids.extend(found)
+        offsets[row + 1] = len(ids)
+    return offsets, np.frombuffer(ids, dtype=np.int32) if len(ids) else np.zeros(0, np.int32)
 
 
-def encode(frame: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """The frame with ``out``: the text's token ids (array of int)."""
-    base = frame.drop(out) if out in frame.columns else frame
-    schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    position = base.columns.index(text)
+def encode_texts(texts: list[str | None], vocab: Vocabulary, pattern: regex.Pattern) -> list[list[int]]:
+    """Ids of each text, as lists."""
+    offsets, ids = encode_flat(texts, vocab, pattern)
+    return [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def _decoded(offsets: np.ndarray, ids: np.ndarray, vocab: Vocabulary) -> pa.Array:
+    words = vocab.by_id
+    return pa.array([b"".join([words[i] for i in ids[a:b].tolist()]) for a, b in zip(offsets[:-1], offsets[1:])], pa.large_binary())
+
+
+def encode(
+    frame: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """The frame with ``out``, the text's token ids (array of int), and with ``decoded`` (their bytes) if named.
+
+    The vocabulary and its perfect hash are built once on the driver (size bounded by the vocabulary)
+    and broadcast. Rows are handled in slices of about ``SLICE_BYTES`` of text, so a task's memory
+    does not grow with Arrow's batch size; a single text is never cut.
+    """
+    names = [out] + ([decoded] if decoded else [])
+    base = frame.drop(*[c for c in names if c in frame.columns])
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.BinaryType())] if decoded else [])
+    schema = T.StructType([*base.schema.fields, *fields])
+    shared = base.sparkSession.sparkContext.broadcast(vocabulary(ranks_path))
+    text_name = text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(ranks_path)
+        vocab = shared.value
         cut = regex.compile(pattern)
-        for batch in batches:
-            ids = pa.array(encode_texts(batch.column(position).to_pylist(), vocab, cut), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], schema=pa.schema([*batch.schema, pa.field(out, ids.type)]))
+        for table in gathered(batches, text_name, SLICE_BYTES):
+            offsets, ids = encode_flat(column_of(table, text_name).to_pylist(), vocab, cut)
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
+            extra = [lists] + ([_decoded(offsets, ids, vocab).cast(pa.binary())] if decoded else [])
+            columns = [column_of(table, c) for c in table.column_names] + extra
+            yield pa.RecordBatch.from_arrays(columns, names=[*table.column_names, *names])
 
     return base.mapInArrow(run, schema)
 
 
 def decode(frame: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """The frame with ``out``: the bytes that the ids stand for (binary)."""
+    """The frame with ``out``: the bytes that the ids stand for (binary); null ids give empty bytes."""
     base = frame.drop(out) if out in frame.columns else frame
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.BinaryType())])
+    shared = base.sparkSession.sparkContext.broadcast(vocabulary(ranks_path))
     position = base.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(ranks_path)
+        vocab = shared.value
         for batch in batches:
-            decoded = pa.array([vocab.decode(v or []) for v in batch.column(position).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], schema=pa.schema([*batch.schema, pa.field(out, pa.binary())]))
+            lists = [v or [] for v in batch.column(position).to_pylist()]
+            offsets = np.cumsum([0] + [len(v) for v in lists])
+            flat = np.fromiter((i for v in lists for i in v), np.int64, int(offsets[-1]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(offsets, flat, vocab).cast(pa.binary())], names=[*batch.schema.names, out])
 
     return base.mapInArrow(run, schema)

@@ -72,7 +72,7 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.decode(bpe.encode(documents, ranks, public_tokenizers.PATTERN), ranks)
+    encoded = bpe.encode(documents, ranks, public_tokenizers.PATTERN, out="ids", decoded="decoded")  # ids, then their bytes
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
