@@ -47,3 +47,10 @@ def latest_record_agg(
 def latest_shipments(shipments: DataFrame) -> DataFrame:
     """Current state of every shipment."""
     return latest_record(shipments, ["shipment_id"], SHIPMENT_ORDER, SHIPMENT_TIE_BREAK)
+
+
+def current_shipments(tables) -> DataFrame:
+    """The kept current state where the tables hold one (``shipments_current``), else the latest record of the raw loads."""
+    if "shipments_current" in tables:
+        return tables.shipments_current
+    return latest_shipments(tables.shipments_new)

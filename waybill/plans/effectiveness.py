@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions.measures import count_if, safe_pct
-from waybill.operators.latest import latest_shipments
+from waybill.operators.latest import current_shipments
 from waybill.operators.scope import ReportScope
 from waybill.sources.tables import Tables
 
@@ -17,7 +17,7 @@ _PARTNER_KEYS = ("country", "partner_id", "partner_name")
 def _outcomes_per_route(tables: Tables) -> DataFrame:
     """Shipment counts per route, so that a route with very many shipments joins as one row."""
     return (
-        latest_shipments(tables.shipments_new)
+        current_shipments(tables)
         .groupBy("route_id")
         .agg(
             F.count("shipment_id").alias("shipments"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.measures import count_if, safe_pct
-from waybill.operators.latest import latest_shipments
+from waybill.operators.latest import current_shipments, latest_shipments
 from waybill.operators.scope import ReportScope
 from waybill.sources.tables import Tables
 
@@ -15,7 +15,7 @@ LOW_STOPS_RATIO = 0.60
 
 def shipments_per_route(tables: Tables) -> DataFrame:
     """Distinct shipments per route, each counted on the route of its latest record."""
-    latest = latest_shipments(tables.shipments_new)
+    latest = current_shipments(tables)
     return latest.groupBy("route_id").agg(F.count("shipment_id").alias("shipment_count"))
 
 

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waybill.sources.schemas import SCHEMAS
 
+#: Tables that only some sources have; reports use them where given.
+OPTIONAL = {"shipments_current": "the current state of shipments, as kept by ``waybill.sources.current``"}
+
 
 class Tables:
     """The tables by name, as attributes: ``tables.routes_new``. Nothing is read until asked for."""
 
     def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
-        unknown = set(frames) - set(SCHEMAS)
+        unknown = set(frames) - set(SCHEMAS) - set(OPTIONAL)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         self._frames = dict(frames)
