@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.measures import count_if
 from waybill.functions.times import epoch_seconds
+from waybill.operators.scan import running
 
 PARTNER_DAY = ("partner_id", "route_date")
 START = "actual_route_start_time"
@@ -308,8 +309,9 @@ def _matches(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Starts get their rank in the group. The ranks below a limit split into few power-of-two blocks
     (the binary digits of the limit), and each start belongs to one block per digit. Inside a block
-    only the ends still matter, which a running total over the ends answers. Rows are reduced per
-    time value before each window, so a window holds at most the distinct times of its group.
+    only the ends still matter, which a running total over the ends answers. Ranks and running
+    totals are distributed prefix sums (``scan.running``): a crowded group or block is cut into time
+    ranges with carries between them, so no task holds a group's distinct times.
     """
     spans = rows.groupBy(*keys, "s", "e").agg(
         F.count(F.lit(1)).alias("n"), F.max("id").alias("hi"), F.min("id").alias("lo")
@@ -318,13 +320,13 @@ def _matches(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.struct(F.col("s").alias("t"), F.lit(1).alias("is_start")),
         F.struct(F.col("e").alias("t"), F.lit(0).alias("is_start")),
     ))
-    earlier = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
+    distinct_ticks = (
         spans.select(*keys, ticks.alias("tick"))
         .groupBy(*keys, F.col("tick.t").alias("t"))
         .agg(F.max("tick.is_start").alias("is_start"))
-        .select(*keys, "t",
-                F.coalesce(F.sum("is_start").over(earlier), F.lit(0)).alias("rank"))
+    )
+    ranks = running(distinct_ticks, keys, [F.col("t")], sums=["is_start"], inclusive=False).select(
+        *keys, "t", F.coalesce(F.col("run_is_start"), F.lit(0)).alias("rank")
     )
     by_start = spans.join(ranks.withColumnRenamed("t", "s"), [*keys, "s"])
     by_end = spans.join(ranks.withColumnRenamed("t", "e"), [*keys, "e"])
@@ -344,21 +346,13 @@ def _matches(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         limits.select(*blocks, F.col("s").alias("t")).distinct().withColumn("asks", F.lit(True))
     )
     # Later ends come first; at one time value the question precedes the ends (strictly after).
-    later = (
-        Window.partitionBy(*blocks)
-        .orderBy(F.desc("t"), F.desc("asks"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     answers = (
-        points.unionByName(asked, allowMissingColumns=True)
-        .select(
-            *blocks, "t", "asks",
-            F.sum("n").over(later).alias("found"),
-            F.max("hi").over(later).alias("hi"),
-            F.min("lo").over(later).alias("lo"),
+        running(
+            points.unionByName(asked, allowMissingColumns=True),
+            blocks, [F.desc("t"), F.desc("asks")], sums=["n"], maxima=["hi"], minima=["lo"],
         )
         .filter("asks")
-        .select(*blocks, F.col("t").alias("s"), "found", "hi", "lo")
+        .select(*blocks, F.col("t").alias("s"), F.col("run_n").alias("found"), F.col("run_hi").alias("hi"), F.col("run_lo").alias("lo"))
     )
     return (
         limits.join(answers, [*blocks, "s"])
