@@ -11,8 +11,9 @@ through two tiers:
    string (a miss compares unequal), so a pre-token that is itself a token costs no merging at all.
 2. **Heap over linked bytes.** Other pre-tokens start as single bytes in a linked list; a heap holds
    (rank of the merged pair, position) for every adjacent pair that is a token. The least rank, and
-   among equal ranks the leftmost pair, is merged; entries whose nodes changed since are skipped, and
-   the merged node's new pairs with its neighbours are pushed. Pair ranks come from the same hash.
+   among equal ranks the leftmost pair, is merged; entries whose pair has changed since are skipped,
+   and the merged node's new pairs with its neighbours are pushed. Pair ranks come from the same
+   hash, asked once per pair of ids in a worker (a memo that empties itself when full).
 
 The table is built once on the driver from the ranks file (its path is a parameter) and broadcast;
 its size is bounded by the vocabulary's. Pre-tokens not in the vocabulary and their ids are kept in a
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from array import array
+from itertools import chain
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql import types as T
 
 from waybill.llm.arrays import column_of, gathered
 
-MEMO = 200_000
+MEMO = 400_000
 SLICE_BYTES = 2 << 20
 _TABLES: dict[str, "Vocabulary"] = {}
 
@@ -143,6 +144,7 @@ class Vocabulary:
         for key, rank in zip(self.keys, self.ranks):
             self.by_id[rank] = key
         self.memo: dict[bytes, list[int]] = {}
+        self.pair_memo: dict[int, int | None] = {}
         self.fast_rank = self.ranker()
         self.byte_ids = [self.rank(bytes([b])) for b in range(256)]
         self.pair_ids = [self.rank(bytes([a, b])) for a in range(256) for b in range(256)]  # two-byte lookups, once
@@ -169,39 +171,55 @@ class Vocabulary:
         return rank
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ids of a pre-token that is no token: least-rank adjacent pairs merged first, leftmost on ties."""
-        rank = self.fast_rank
+        """Ids of a pre-token that is no token: least-rank adjacent pairs merged first, leftmost on ties.
+
+        Nodes are linked by ``end`` (one past a node's last byte; -1 once merged away). The heap
+        holds ``rank * n + position`` of candidate pairs, so the least rank and then the leftmost
+        pair comes first; a popped entry counts only if the pair now at its position still has
+        that rank. The rank of two neighbours is the perfect hash's rank of their joined bytes,
+        asked once per pair of ids and kept in ``pair_memo`` (emptied at ``2 * MEMO`` entries).
+        """
+        memo, words, rank = self.pair_memo, self.by_id, self.fast_rank
+        if len(memo) >= 2 * MEMO:
+            memo.clear()
         n = len(piece)
-        end = list(range(1, n + 1))  # a node is named by its first byte; end[i] is one past its last
+        end = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        alive = [True] * n
-        ids = [self.byte_ids[b] for b in piece]  # the id of each node
+        ids = [self.byte_ids[b] for b in piece]
         pairs = self.pair_ids
         heap = []
         for i in range(n - 1):
             r = pairs[piece[i] << 8 | piece[i + 1]]
             if r is not None:
-                heap.append((r, i, i + 1, i + 2))
+                heap.append(r * n + i)
+                memo[ids[i] << 20 | ids[i + 1]] = r
         heapq.heapify(heap)
         pop, push = heapq.heappop, heapq.heappush
         while heap:
-            r, i, middle, stop = pop(heap)
-            if not alive[i] or end[i] != middle or not alive[middle] or end[middle] != stop:
+            r, i = divmod(pop(heap), n)
+            middle = end[i]
+            if middle < 0 or middle >= n or memo.get(ids[i] << 20 | ids[middle]) != r:
                 continue
-            alive[middle] = False
+            stop = end[middle]
+            end[middle] = -1
             end[i] = stop
             ids[i] = r
             if stop < n:
                 before[stop] = i
-                further = end[stop]
-                r = rank(piece[i:further])
-                if r is not None:
-                    push(heap, (r, i, stop, further))
+                key = r << 20 | ids[stop]
+                found = memo.get(key, -1)
+                if found == -1:
+                    found = memo[key] = rank(words[r] + words[ids[stop]])
+                if found is not None:
+                    push(heap, found * n + i)
             p = before[i]
             if p >= 0:
-                r = rank(piece[p:stop])
-                if r is not None:
-                    push(heap, (r, p, i, stop))
+                key = ids[p] << 20 | r
+                found = memo.get(key, -1)
+                if found == -1:
+                    found = memo[key] = rank(words[ids[p]] + words[r])
+                if found is not None:
+                    push(heap, found * n + p)
         out, i = [], 0
         while i < n:
             out.append(ids[i])
@@ -240,17 +258,16 @@ def encode_text(text: str | None, vocab: Vocabulary, pattern: regex.Pattern) ->
 
 def encode_flat(texts: list[str | None], vocab: Vocabulary, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and ids of all texts; a pre-token met several times in the call is looked up once."""
+    cut = [pattern.findall(t) if t else [] for t in texts]
     known: dict[str, list[int]] = {}
-    ids = array("i")
+    for pieces in cut:
+        for piece in pieces:
+            if piece not in known:
+                known[piece] = vocab.encode_piece(piece.encode("utf-8"))
+    per_text = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
     offsets = np.zeros(len(texts) + 1, np.int64)
-    for row, text in enumerate(texts):
-        for piece in pattern.findall(text) if text else ():
-            found = known.get(piece)
-            if found is None:
-                found = known[piece] = vocab.encode_piece(piece.encode("utf-8"))
-            ids.extend(found)
-        offsets[row + 1] = len(ids)
-    return offsets, np.frombuffer(ids, dtype=np.int32) if len(ids) else np.zeros(0, np.int32)
+    np.cumsum([len(ids) for ids in per_text], out=offsets[1:])
+    return offsets, np.fromiter(chain.from_iterable(per_text), np.int32, int(offsets[-1]))
 
 
 def encode_texts(texts: list[str | None], vocab: Vocabulary, pattern: regex.Pattern) -> list[list[int]]:
