@@ -4,10 +4,11 @@ Texts are lower-cased in A-Z only, cut into pieces at ``[.,;:!?\\n\\x0b\\x0c\\r]
 words ``[^ \\t]+``; phrases never cross a piece.
 
 1. **Stripes in the mapper.** For every word, the task's stripe of that word (a prefix of one word)
-   counts the word after it, and the stripe of every two-word prefix counts the third word; the end of
-   a piece counts as a next word of its own (``next`` null). A stripe therefore holds a prefix's
-   extensions *and*, by its sum, the prefix's own total. Stripes are built per slice of about
-   ``SLICE_BYTES`` of text with Python dictionaries, so memory is bounded per task.
+   counts the word after it, the end of a piece counting as a next word of its own (``next`` null):
+   a stripe holds a prefix's extensions *and*, by its sum, the prefix's own total. A second pass
+   builds the stripes of two-word prefixes (third words). Stripes are built per slice of about
+   ``SLICE_BYTES`` of text with Python dictionaries, so memory is bounded per task. Before the
+   second pass is shuffled, its entries are pruned exactly: see ``merged_stripes``.
 2. **Elementwise merge.** Stripe entries are keyed by (lang, prefix, next) and summed by Spark, which
    combines them map-side first; a frequent prefix's stripe is spread over reducers by its next words,
    so no prefix is ever one task's work.
@@ -40,7 +41,8 @@ from pyspark.sql import functions as F
 
 from waybill.sources.scratch import stored
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+BROADCAST_PAIRS = 1_000_000
 PIECES = re.compile(r"[.,;:!?\n\x0b\x0c\r]")
 WORDS = re.compile(r"[^ \t]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -54,26 +56,28 @@ def _emit(lang: list, p1: list, p2: list, nxt: list, cnt: list) -> pa.RecordBatc
     )
 
 
-def _stripes(tokens: dict[str, list]) -> pa.RecordBatch:
-    """Per language: one-word and two-word prefix stripes of a token list (None ends a piece)."""
+def _stripes(tokens: dict[str, list], width: int) -> pa.RecordBatch:
+    """Per language: the stripes of all one-word (width 2) or two-word (width 3) prefixes of a token
+    list in which None ends a piece. One-word stripes count the end of a piece as ``next`` null, so
+    their sums are the words' totals; two-word stripes hold only words that follow."""
     lang, p1, p2, nxt, cnt = [], [], [], [], []
     for code, toks in tokens.items():
-        one = Counter(pair for pair in zip(toks, toks[1:]) if pair[0] is not None)
-        two = Counter(triple for triple in zip(toks, toks[1:], toks[2:]) if triple[0] is not None and triple[1] is not None)
-        for (a, b), c in one.items():
-            lang.append(code), p1.append(a), p2.append(None), nxt.append(b), cnt.append(c)
-        for (a, b, d), c in two.items():
-            lang.append(code), p1.append(a), p2.append(b), nxt.append(d), cnt.append(c)
+        if width == 2:
+            for (a, b), c in Counter(pair for pair in zip(toks, toks[1:]) if pair[0] is not None).items():
+                lang.append(code), p1.append(a), p2.append(None), nxt.append(b), cnt.append(c)
+        else:
+            for (a, b, d), c in Counter(t for t in zip(toks, toks[1:], toks[2:]) if None not in t).items():
+                lang.append(code), p1.append(a), p2.append(b), nxt.append(d), cnt.append(c)
     return _emit(lang, p1, p2, nxt, cnt)
 
 
-def _mapper(text_at: int, lang_at: int):
+def _mapper(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: dict[str, list] = {}
         held = 0
         for batch in batches:
-            texts = batch.column(text_at).to_pylist()
-            langs = batch.column(lang_at).to_pylist()
+            texts = batch.column(0).to_pylist()
+            langs = batch.column(1).to_pylist()
             for text, code in zip(texts, langs):
                 if not text:
                     continue
@@ -85,20 +89,42 @@ def _mapper(text_at: int, lang_at: int):
                         toks.append(None)
                         held += len(piece)
                     if held >= SLICE_BYTES:
-                        yield _stripes(tokens)
+                        yield _stripes(tokens, width)
                         tokens = {k: [] for k in tokens}
                         toks = tokens["und" if code is None else code]
                         held = 0
         if held:
-            yield _stripes(tokens)
+            yield _stripes(tokens, width)
 
     return run
 
 
-def merged_stripes(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, p1, p2, next, cnt): summed stripe entries; p2 null for one-word prefixes, next null for a piece's end."""
-    source = documents.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    return source.mapInArrow(_mapper(0, 1), STRIPES).groupBy("lang", "p1", "p2", "next").agg(F.sum("cnt").alias("cnt"))
+def _source(documents: DataFrame, text: str, lang: str) -> DataFrame:
+    return documents.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+
+
+def merged_stripes(documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The merged one-word stripes (lang, p1, next, cnt; next null for a piece's end) and two-word
+    stripes (lang, p1, p2, next, cnt), each written once to the shared folder.
+
+    A three-word phrase can reach ``min_count`` only if both its two-word parts do. When at most
+    ``BROADCAST_PAIRS`` two-word phrases do (counted first), they are broadcast and every other
+    two-word stripe entry is dropped in the mapper's task, before the shuffle; beyond that count all
+    entries are shuffled. Either way the kept counts of three-word phrases are exact.
+    """
+    source = _source(documents, text, lang)
+    ones = stored(
+        source.mapInArrow(_mapper(2), STRIPES).drop("p2").groupBy("lang", "p1", "next").agg(F.sum("cnt").alias("cnt")),
+        "stripes",
+    )
+    twos = source.mapInArrow(_mapper(3), STRIPES)
+    frequent = ones.where(F.col("next").isNotNull() & (F.col("cnt") >= min_count)).select("lang", "p1", "next")
+    if min_count > 1 and frequent.count() <= BROADCAST_PAIRS:
+        first = F.broadcast(frequent.select("lang", "p1", F.col("next").alias("p2")))
+        second = F.broadcast(frequent.select("lang", F.col("p1").alias("p2"), "next"))
+        twos = twos.join(first, ["lang", "p1", "p2"], "left_semi").join(second, ["lang", "p2", "next"], "left_semi")
+    twos = stored(twos.groupBy("lang", "p1", "p2", "next").agg(F.sum("cnt").alias("cnt")), "stripes")
+    return ones, twos
 
 
 def _score(a: str, l: str, r: str):
@@ -111,11 +137,11 @@ def _score(a: str, l: str, r: str):
 
 def mine(documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 10, top: int = 2000) -> DataFrame:
     """Each language's first ``top`` collocations: lang, rank, phrase, a, l, r, n, score (all numbers long)."""
-    stripes = stored(merged_stripes(documents, text, lang), "stripes")  # read by every part below: written once
-    words = stored(stripes.where(F.col("p2").isNull()).groupBy("lang", "p1").agg(F.sum("cnt").alias("f")), "stripes")  # stripe totals
+    ones, twos = merged_stripes(documents, text, lang, min_count)
+    words = stored(ones.groupBy("lang", "p1").agg(F.sum("cnt").alias("f")), "stripes")  # stripe totals
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs = stripes.where(F.col("p2").isNull() & F.col("next").isNotNull()).select("lang", "p1", F.col("next").alias("p2"), F.col("cnt").alias("f"))
-    triples = stripes.where(F.col("p2").isNotNull() & F.col("next").isNotNull()).select("lang", "p1", "p2", F.col("next").alias("p3"), F.col("cnt").alias("f"))
+    pairs = ones.where(F.col("next").isNotNull()).select("lang", "p1", F.col("next").alias("p2"), F.col("cnt").alias("f"))
+    triples = twos.select("lang", "p1", "p2", F.col("next").alias("p3"), F.col("cnt").alias("f"))
     long_candidates = triples.where(F.col("f") >= min_count)
     # subsumption maxima: over the extensions of a two-word prefix, and over the two-word suffixes
     right = long_candidates.groupBy("lang", "p1", "p2").agg(F.max("f").alias("right_max"))
