@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.measures import count_if
 from waybill.functions.times import epoch_seconds
-from waybill.operators.scan import running
+from waybill.operators.scan import following, running
 
 PARTNER_DAY = ("partner_id", "route_date")
 START = "actual_route_start_time"
@@ -412,8 +412,9 @@ def adjacent_overlaps(
 ) -> DataFrame:
     """Per group: how many intervals end after the next one (by start, then id) has started.
 
-    Rows are first reduced per start, so the window holds only the distinct starts of a group:
-    among equal starts, all but the last are followed by a row with that same start.
+    Rows are first reduced per start: among equal starts, all but the last are followed by a row
+    with that same start. The next distinct start comes from ``scan.following``: a ``lead`` inside a
+    time range, and across ranges the first start of the next one, so no task holds a whole group.
     """
     order = F.struct("id", "e")
     per_start = (
@@ -421,11 +422,10 @@ def adjacent_overlaps(
         .groupBy(*keys, "s")
         .agg(count_if(F.col("e") > F.col("s")).alias("open"), F.max_by("e", order).alias("last"))
     )
-    following = F.lead("s").over(Window.partitionBy(*keys).orderBy("s"))
     inside = F.col("open") - F.when(F.col("last") > F.col("s"), 1).otherwise(0)
     across = F.when(F.col("last") > F.col("following"), 1).otherwise(0)
     return (
-        per_start.withColumn("following", following)
+        following(per_start, keys, "s").withColumnRenamed("next_s", "following")
         .groupBy(*keys)
         .agg(F.sum(inside + across).alias("overlap_count"))
         .filter("overlap_count > 0")

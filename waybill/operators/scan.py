@@ -58,3 +58,22 @@ def running(
             value = F.least(mine, carry)
         combined.append(value.alias(f"run_{c}"))
     return joined.select(*df.columns, *combined)
+
+
+def following(df: DataFrame, keys: Sequence[str], order: str, ranges: int | None = None) -> DataFrame:
+    """The rows with ``next_<order>``: the next value of ``order`` in the group, null for the last.
+
+    ``order`` must be distinct within a group. Inside a time range the next row is a ``lead``; the
+    last row of a range takes the first value of the group's next non-empty range, found over one
+    row per range.
+    """
+    spark = df.sparkSession
+    count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(count, *[F.col(k) for k in keys], F.col(order)).withColumn(_RANGE, F.spark_partition_id())
+    parts = [*keys, _RANGE]
+    local = F.lead(order).over(Window.partitionBy(*parts).orderBy(order))
+    firsts = ranged.groupBy(*parts).agg(F.min(order).alias("_first"))
+    later = F.lead("_first").over(Window.partitionBy(*keys).orderBy(_RANGE))  # one row a range
+    carried = firsts.select(*parts, later.alias("_next_first"))
+    joined = ranged.withColumn("_local_next", local).join(carried, parts, "left")
+    return joined.select(*df.columns, F.coalesce("_local_next", "_next_first").alias(f"next_{order}"))
