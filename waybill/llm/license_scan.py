@@ -81,52 +81,64 @@ def scan(
     """Adds licenses (sorted names) and n_hits (templates found); one row for each given row.
 
     Templates are literals of the plan; more than ``most_templates`` are refused: scan in parts then.
+    The whole scan of a row is one expression of named steps, so the input's columns keep their
+    names whatever they are (``_words``, ``_b0`` and the like included).
     """
     spark = documents.sparkSession
     templates = templates_of(spark, notices)
     if len(templates) > most_templates:
         raise ValueError(f"{len(templates)} templates; scan for at most {most_templates} at a time")
     kept = [name for name in documents.columns if name.lower() not in ("licenses", "n_hits")]
-    classes = sorted({_class(shingles) for _, shingles, _ in templates})
-    df = documents.select(*(F.col(f"`{name}`") for name in kept), words_of(F.col(f"`{text}`")).alias("_words"))
-    df = df.withColumn("_shingles", F.expr(_SHINGLES)).drop("_words")
+    columns = [F.col(f"`{name}`") for name in kept]
     if not templates:
-        return df.select(*(F.col(f"`{name}`") for name in kept), F.array().cast("array<string>").alias("licenses"), F.lit(0).alias("n_hits"))
-
+        return documents.select(*columns, F.array().cast("array<string>").alias("licenses"), F.lit(0).alias("n_hits"))
+    classes = sorted({_class(shingles) for _, shingles, _ in templates})
     every = ", ".join(f"{x}L" for x in sorted({x for _, shingles, _ in templates for x in shingles}))
-    df = df.withColumn("_shingles", F.expr(f"CASE WHEN arrays_overlap(_shingles, array({every})) THEN _shingles ELSE cast(array() AS array<bigint>) END"))
-    df = df.select("*", *(F.expr(_band(b)).alias(f"_b{b}") for b in range(BANDS if classes[-1] > 1 else 1)))
+    bands = BANDS if classes[-1] > 1 else 1
 
     def values(c: int, b: int) -> str:
         if c == 1:
-            return f"_b{b}"
+            return f"get(_bands, {b})"
         return (
             f"CASE WHEN size(_shingles) = 0 THEN cast(array() AS array<bigint>) ELSE transform(sequence(0, size(_shingles) - 1, {c}),"
-            f" i -> array_min(slice(_b{b}, i + 1, {3 * c - 2}))) END"
+            f" i -> array_min(slice(get(_bands, {b}), i + 1, {3 * c - 2}))) END"
         )
 
-    for c in classes:
-        own = [least for _, shingles, least in templates if _class(shingles) == c]
-        for b in range(1 if c == 1 else BANDS):
-            wanted = ", ".join(f"{least[b]}L" for least in own)
-            df = df.withColumn(f"_hit{c}_{b}", F.expr(f"arrays_overlap({values(c, b)}, array({wanted}))"))
-
-    def verified(shingles: list[int], c: int) -> Column:
+    def verified(shingles: list[int], c: int) -> str:
         """Some window of the class holds enough of the template, exactly compared."""
         literal = ", ".join(f"{x}L" for x in shingles)
         need = -(-len(shingles) * round(contained * 1000) // 1000)
         at = "i" if c == 1 else f"i * {c}"
-        return F.expr(
+        return (
             f"exists(sequence(0, cast((size(_shingles) - 1) / {c} AS int)), i ->"
             f" size(array_intersect(slice(_shingles, {at} + 1, {3 * c - 2}), array({literal}))) >= {need})"
         )
 
-    names = []
+    found = []
     for name, shingles, _ in templates:
         c = _class(shingles)
-        hit = " OR ".join(f"_hit{c}_{b}" for b in range(1 if c == 1 else BANDS))
-        names.append(F.when(F.expr(f"({hit})") & verified(shingles, c), F.lit(name)))
-    # rand() keeps a filter on the result above this step; pushed below, it would repeat every step within.
-    found = F.when(F.rand(0) >= 0, F.array_compact(F.array(*names)))
-    out = df.select(*(F.col(f"`{name}`") for name in kept), found.alias("_names"))
-    return out.select(*(F.col(f"`{name}`") for name in kept), F.array_sort(F.array_distinct("_names")).alias("licenses"), F.size("_names").alias("n_hits"))
+        hit = f"array_contains(_hits{c}, true)"
+        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+        found.append(f"CASE WHEN ({hit}) AND {verified(shingles, c)} THEN '{quoted}' END")
+    # Every step is a name bound once (``_let``), innermost last: a filter on the result that Spark
+    # pushes below repeats the whole expression once, never a step within it.
+    body = f"array_compact(array({', '.join(found)}))"
+    for c in reversed(classes):
+        own = [least for _, shingles, least in templates if _class(shingles) == c]
+        hits = [f"arrays_overlap({values(c, b)}, array({', '.join(f'{least[b]}L' for least in own)}))" for b in range(1 if c == 1 else BANDS)]
+        body = _let(f"_hits{c}", f"array({', '.join(hits)})", body)  # band by band: shares a value with a template
+    body = _let("_bands", f"transform(sequence(0, {bands - 1}), b -> transform(_shingles, x -> xxhash64(x, b)))", body)
+    body = _let("_shingles", f"CASE WHEN arrays_overlap(_all, array({every})) THEN _all ELSE cast(array() AS array<bigint>) END", body)
+    body = _let("_all", _SHINGLES, body)
+    words = r"array_remove(split(lower(coalesce(cast(`" + text.replace("`", "``") + r"` AS string), '')), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), '')"
+    body = _let("_words", words, body)
+    found_col = "_names"
+    while found_col.lower() in {name.lower() for name in kept}:
+        found_col = f"_{found_col}"
+    named = documents.select(*columns, F.expr(body).alias(found_col))
+    return named.select(*columns, F.array_sort(F.array_distinct(found_col)).alias("licenses"), F.size(found_col).alias("n_hits"))
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL in which a name stands for a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
