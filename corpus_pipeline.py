@@ -23,10 +23,16 @@ def _recounted(documents: DataFrame, text: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the base rule or a certified cutoff rejects."""
-    features = stored(quality_rules.measured(docs), "features")  # with the texts: measured once
-    certified = stored(quality_rules.cutoffs(features, spark.read.parquet(f"{sf_dir}/labels.parquet")), "cutoffs")
-    return quality_rules.judged(features, certified).where("kept").select(*docs.columns)
+    """Drops documents that the base rule or a certified cutoff rejects.
+
+    Cutoffs need the measures of labelled documents only, so those are measured first; then every
+    document is measured and judged in the one pass that writes the stage. No table of texts with
+    their measures is written in between.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labelled = docs.join(labels.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "doc_id", "left_semi")
+    certified = stored(quality_rules.cutoffs(quality_rules.measured(labelled), labels), "cutoffs")
+    return quality_rules.judged(quality_rules.measured(docs), certified).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
