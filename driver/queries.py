@@ -361,6 +361,31 @@ def _(s: StandIn) -> DataFrame:
     return publish.read_published(s.spark, path, like=report)
 
 
+@query(
+    "publish_merge",
+    f"""SELECT {_FLEET}, route_date::VARCHAR AS route_date,
+        (total_routes + CASE WHEN route_date = DATE '1996-01-02' THEN 1000 ELSE 0 END)::BIGINT AS total_routes,
+        on_time_end_count, oth_end_time_pct, on_time_duration_count, oth_duration_pct, oth_metric_gap, route_month
+    FROM (SELECT {_FLEET}, route_date, {_OTH}, strftime(route_date, '%Y-%m') AS route_month
+          FROM fleet_rows GROUP BY {_FLEET}, route_date)
+    WHERE route_month NOT LIKE '1997-%'""",
+)
+def _(s: StandIn) -> DataFrame:
+    """Publish all months; then merge a run over 1996-1997 that lacks 1997 and changes one day of 1996."""
+    report = oth.oth_by_fleet(s.tables(), SCOPE, [*oth.FLEET_KEYS, "route_date"])
+    report = report.withColumn("route_month", F.substring(F.col("route_date").cast("string"), 1, 7))
+    keys = [*oth.FLEET_KEYS, "route_date"]
+    path = f"{publish.work_folder(s.spark)}/oth"
+    publish.merge_partitions(report, path, keys, ["route_month"])
+    changed = F.col("route_date") == F.lit("1996-01-02").cast("date")
+    second = report.where(F.col("route_month").between("1996-01", "1997-12") & ~F.col("route_month").startswith("1997-")).withColumn(
+        "total_routes", (F.col("total_routes") + F.when(changed, 1000).otherwise(0)).cast("long")
+    )
+    publish.merge_partitions(second.where(changed), path, keys, ["route_month"])  # one changed key first
+    publish.merge_partitions(second, path, keys, ["route_month"], period=("1996-01", "1997-12"))
+    return publish.read_published(s.spark, path, like=report)
+
+
 # ---------------------------------------------------------------- local time
 
 
