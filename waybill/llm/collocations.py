@@ -20,8 +20,13 @@ words ``[^ \\t]+``; phrases never cross a piece.
 4. Candidates (2 or 3 words, ``a >= min_count``) are scored exactly: ``floor(10^6 a^2 / (l r))`` in
    38-digit decimals, the least-scoring cut and on ties the smallest k. Two-word candidates inside a
    three-word candidate with ``2 f(longer) >= a`` are dropped. Each language's first ``top`` by score
-   descending, a descending, phrase ascending (bytes of UTF-8) are returned; Spark's window group limit
-   keeps at most ``top`` per language and task before the final ranking.
+   descending, a descending, phrase ascending (bytes of UTF-8) are returned: first the first ``top``
+   of each of ``SALTS`` parts of a language (by the phrase's hash), then of the survivors, so no task
+   ranks all of a language's candidates.
+
+Words travel as 64-bit ids (xxh64 of their bytes) from the mappers on; each word's text rides along
+once in its total's row and is joined back to the candidates only. Two words with one id in a
+language stop the run with an error instead of merging their counts.
 
 Defined results for odd input: null text counts as empty, null lang as ``und``; texts without words
 give nothing; repeated rows count every time; columns of the input other than the text and language
@@ -36,6 +41,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,32 +49,47 @@ from waybill.sources.scratch import stored
 
 SLICE_BYTES = 2 << 20
 BROADCAST_PAIRS = 1_000_000
+SALTS = 64
 PIECES = re.compile(r"[.,;:!?\n\x0b\x0c\r]")
 WORDS = re.compile(r"[^ \t]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-STRIPES = "lang string, p1 string, p2 string, next string, cnt long"
+ONES = "lang string, p1 long, next long, cnt long, word string"
+TWOS = "lang string, p1 long, p2 long, next long, cnt long"
 
 
-def _emit(lang: list, p1: list, p2: list, nxt: list, cnt: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(p1, pa.string()), pa.array(p2, pa.string()), pa.array(nxt, pa.string()), pa.array(cnt, pa.int64())],
-        names=["lang", "p1", "p2", "next", "cnt"],
-    )
+def _ids(words: set[str]) -> dict[str, int]:
+    """A 64-bit id for each word (xxh64 of its UTF-8 bytes, signed). Collisions are checked later."""
+    out = {}
+    for w in words:
+        h = xxhash.xxh64_intdigest(w.encode("utf-8"))
+        out[w] = h - (1 << 64) if h >= 1 << 63 else h
+    return out
 
 
 def _stripes(tokens: dict[str, list], width: int) -> pa.RecordBatch:
-    """Per language: the stripes of all one-word (width 2) or two-word (width 3) prefixes of a token
-    list in which None ends a piece. One-word stripes count the end of a piece as ``next`` null, so
-    their sums are the words' totals; two-word stripes hold only words that follow."""
-    lang, p1, p2, nxt, cnt = [], [], [], [], []
+    """Per language, the stripes of a slice's token list (None ends a piece), words by 64-bit ids.
+
+    Width 2: the stripe of each word: its total (``next`` null, with the word's text) and the words
+    after it. Width 3: the stripe of each two-word prefix: the third words."""
+    lang, p1, p2, nxt, cnt, text = [], [], [], [], [], []
     for code, toks in tokens.items():
+        ids = _ids({t for t in toks if t is not None})
+        ids[None] = None
+        h = [ids[t] for t in toks]
         if width == 2:
-            for (a, b), c in Counter(pair for pair in zip(toks, toks[1:]) if pair[0] is not None).items():
-                lang.append(code), p1.append(a), p2.append(None), nxt.append(b), cnt.append(c)
+            for w, c in Counter(t for t in toks if t is not None).items():
+                lang.append(code), p1.append(ids[w]), nxt.append(None), cnt.append(c), text.append(w)
+            for (a, b), c in Counter(pair for pair in zip(h, h[1:]) if None not in pair).items():
+                lang.append(code), p1.append(a), nxt.append(b), cnt.append(c), text.append(None)
         else:
-            for (a, b, d), c in Counter(t for t in zip(toks, toks[1:], toks[2:]) if None not in t).items():
+            for (a, b, d), c in Counter(t for t in zip(h, h[1:], h[2:]) if None not in t).items():
                 lang.append(code), p1.append(a), p2.append(b), nxt.append(d), cnt.append(c)
-    return _emit(lang, p1, p2, nxt, cnt)
+    arrays = [pa.array(lang, pa.string()), pa.array(p1, pa.int64())]
+    if width == 2:
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(nxt, pa.int64()), pa.array(cnt, pa.int64()), pa.array(text, pa.string())],
+                                          names=["lang", "p1", "next", "cnt", "word"])
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(p2, pa.int64()), pa.array(nxt, pa.int64()), pa.array(cnt, pa.int64())],
+                                      names=["lang", "p1", "p2", "next", "cnt"])
 
 
 def _mapper(width: int):
@@ -104,8 +125,10 @@ def _source(documents: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def merged_stripes(documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 1) -> tuple[DataFrame, DataFrame]:
-    """The merged one-word stripes (lang, p1, next, cnt; next null for a piece's end) and two-word
-    stripes (lang, p1, p2, next, cnt), each written once to the shared folder.
+    """The merged one-word stripes (lang, p1, next, cnt, word; ``next`` null: the word's total, with
+    its text) and two-word stripes (lang, p1, p2, next, cnt), words by 64-bit ids, each written once
+    to the shared folder. Two words with one id in a language raise an error: no count is merged
+    silently.
 
     A three-word phrase can reach ``min_count`` only if both its two-word parts do. When at most
     ``BROADCAST_PAIRS`` two-word phrases do (counted first), they are broadcast and every other
@@ -114,10 +137,15 @@ def merged_stripes(documents: DataFrame, text: str = "text", lang: str = "lang",
     """
     source = _source(documents, text, lang)
     ones = stored(
-        source.mapInArrow(_mapper(2), STRIPES).drop("p2").groupBy("lang", "p1", "next").agg(F.sum("cnt").alias("cnt")),
+        source.mapInArrow(_mapper(2), ONES)
+        .groupBy("lang", "p1", "next")
+        .agg(F.sum("cnt").alias("cnt"), F.min("word").alias("word"), F.max("word").alias("_other")),
         "stripes",
     )
-    twos = source.mapInArrow(_mapper(3), STRIPES)
+    if ones.where(F.col("word") != F.col("_other")).limit(1).count():
+        raise ArithmeticError("two words share a 64-bit id; counts would merge")
+    ones = ones.drop("_other")
+    twos = source.mapInArrow(_mapper(3), TWOS)
     frequent = ones.where(F.col("next").isNotNull() & (F.col("cnt") >= min_count)).select("lang", "p1", "next")
     if min_count > 1 and frequent.count() <= BROADCAST_PAIRS:
         first = F.broadcast(frequent.select("lang", "p1", F.col("next").alias("p2")))
@@ -138,7 +166,7 @@ def _score(a: str, l: str, r: str):
 def mine(documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 10, top: int = 2000) -> DataFrame:
     """Each language's first ``top`` collocations: lang, rank, phrase, a, l, r, n, score (all numbers long)."""
     ones, twos = merged_stripes(documents, text, lang, min_count)
-    words = stored(ones.groupBy("lang", "p1").agg(F.sum("cnt").alias("f")), "stripes")  # stripe totals
+    words = ones.where(F.col("next").isNull()).select("lang", "p1", F.col("cnt").alias("f"), "word")  # stripe totals
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     pairs = ones.where(F.col("next").isNotNull()).select("lang", "p1", F.col("next").alias("p2"), F.col("cnt").alias("f"))
     triples = twos.select("lang", "p1", "p2", F.col("next").alias("p3"), F.col("cnt").alias("f"))
@@ -148,7 +176,7 @@ def mine(documents: DataFrame, text: str = "text", lang: str = "lang", min_count
     left = long_candidates.groupBy("lang", F.col("p2").alias("p1"), F.col("p3").alias("p2")).agg(F.max("f").alias("left_max"))
 
     def word(k: int) -> DataFrame:
-        return words.select("lang", F.col("p1").alias(f"w{k}"), F.col("f").alias(f"f{k}"))
+        return words.select("lang", F.col("p1").alias(f"w{k}"), F.col("f").alias(f"f{k}"), F.col("word").alias(f"t{k}"))
 
     def pair(i: int, j: int) -> DataFrame:
         return pairs.select("lang", F.col("p1").alias(f"w{i}"), F.col("p2").alias(f"w{j}"), F.col("f").alias(f"f{i}{j}"))
@@ -161,7 +189,7 @@ def mine(documents: DataFrame, text: str = "text", lang: str = "lang", min_count
         .select("lang", F.col("p1").alias("w1"), F.col("p2").alias("w2"), "f")
         .join(word(1), ["lang", "w1"])
         .join(word(2), ["lang", "w2"])
-        .select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), F.col("f").alias("a"), F.col("f1").alias("l"), F.col("f2").alias("r"))
+        .select("lang", F.concat_ws(" ", "t1", "t2").alias("phrase"), F.col("f").alias("a"), F.col("f1").alias("l"), F.col("f2").alias("r"))
         .withColumn("score", _score("a", "l", "r"))
     )
     three = (
@@ -170,19 +198,26 @@ def mine(documents: DataFrame, text: str = "text", lang: str = "lang", min_count
         .join(word(3), ["lang", "w3"])
         .join(pair(1, 2), ["lang", "w1", "w2"])
         .join(pair(2, 3), ["lang", "w2", "w3"])
+        .join(word(2).select("lang", "w2", "t2"), ["lang", "w2"])
         .withColumn("s1", _score("f", "f1", "f23"))
         .withColumn("s2", _score("f", "f12", "f3"))
         .select(
             "lang",
-            F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"),
+            F.concat_ws(" ", "t1", "t2", "t3").alias("phrase"),
             F.col("f").alias("a"),
             F.when(F.col("s1") <= F.col("s2"), F.col("f1")).otherwise(F.col("f12")).alias("l"),
             F.when(F.col("s1") <= F.col("s2"), F.col("f23")).otherwise(F.col("f3")).alias("r"),
             F.least("s1", "s2").alias("score"),
         )
     )
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc())
-    ranked = short.unionByName(three).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # Top ``top`` per language in two steps: per (language, one of SALTS parts by the phrase's hash),
+    # then over the at most SALTS * top survivors; a language's first rows are first in their part.
+    ranking = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    candidates = short.unionByName(three).withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    survivors = candidates.withColumn("_in_part", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*ranking))).where(
+        F.col("_in_part") <= top
+    )
+    ranked = survivors.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*ranking))).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", *[F.col(c).cast("long").alias(c) for c in ("a", "l", "r", "n", "score")]
     )
