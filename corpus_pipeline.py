@@ -15,6 +15,7 @@ from waybill.sources.scratch import stored
 
 #: Some stages have no SQL form; tests hold each against a brute-force version.
 ORACLE_SQL = None
+BROADCAST_IDS = 2_000_000
 
 
 def _recounted(documents: DataFrame, text: DataFrame) -> DataFrame:
@@ -30,7 +31,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     their measures is written in between.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    labelled = docs.join(labels.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = labels.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    # The labelled ids, counted: broadcast up to BROADCAST_IDS, so no text is shuffled to find them.
+    labelled = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
     certified = stored(quality_rules.cutoffs(quality_rules.measured(labelled), labels), "cutoffs")
     return quality_rules.judged(quality_rules.measured(docs), certified).where("kept").select(*docs.columns)
 
