@@ -42,7 +42,8 @@ from pyspark.sql import types as T
 
 from waybill.llm.arrays import column_of, gathered
 
-MEMO = 400_000
+MEMO = 1_000_000
+PAIR_MEMO = 1_000_000
 SLICE_BYTES = 2 << 20
 _TABLES: dict[str, "Vocabulary"] = {}
 
@@ -143,7 +144,7 @@ class Vocabulary:
         self.by_id: list[bytes | None] = [None] * (max(self.ranks, default=-1) + 1)
         for key, rank in zip(self.keys, self.ranks):
             self.by_id[rank] = key
-        self.memo: dict[bytes, list[int]] = {}
+        self.memo: dict[bytes, tuple[int, ...]] = {}
         self.pair_memo: dict[int, int | None] = {}
         self.fast_rank = self.ranker()
         self.byte_ids = [self.rank(bytes([b])) for b in range(256)]
@@ -177,10 +178,10 @@ class Vocabulary:
         holds ``rank * n + position`` of candidate pairs, so the least rank and then the leftmost
         pair comes first; a popped entry counts only if the pair now at its position still has
         that rank. The rank of two neighbours is the perfect hash's rank of their joined bytes,
-        asked once per pair of ids and kept in ``pair_memo`` (emptied at ``2 * MEMO`` entries).
+        asked once per pair of ids and kept in ``pair_memo`` (emptied at ``PAIR_MEMO`` entries).
         """
         memo, words, rank = self.pair_memo, self.by_id, self.fast_rank
-        if len(memo) >= 2 * MEMO:
+        if len(memo) >= PAIR_MEMO:
             memo.clear()
         n = len(piece)
         end = list(range(1, n + 1))
@@ -234,7 +235,7 @@ class Vocabulary:
         if ids is None:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
-            ids = self.memo[piece] = self.merged(piece)
+            ids = self.memo[piece] = tuple(self.merged(piece))
         return ids
 
     def decode(self, ids: list[int]) -> bytes:
