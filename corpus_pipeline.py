@@ -67,7 +67,13 @@ STAGES = [
 ]
 
 
+#: Rows a Python task takes at a time in every stage: several stages run two Arrow steps in one task,
+#: and long texts make Spark's default of 10,000 rows a batch too much for one executor.
+ARROW_ROWS = 1_000
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
