@@ -154,3 +154,63 @@ def test_no_step_compares_a_large_group_pairwise(spark):
     plan = overlap_counts(df, direct_up_to=5)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "collect_set"):
         assert bad not in plan
+
+
+def test_a_group_of_many_leaves_matches_brute_force(spark):
+    """Several blocks of whole leaves, over hours and days, with repeated ids in them."""
+    rnd = random.Random(18)
+    routes = []
+    for _ in range(600):
+        start = datetime(2025, 4, 1) + timedelta(minutes=rnd.randint(0, 600))
+        end = start + timedelta(minutes=rnd.choice([rnd.randint(-300, 400), 0, 5, 3000]))
+        routes.append((
+            f"R{rnd.randint(0, 450):03d}", "P1", date(2025, 4, 1), rnd.choice(["A", "B", None]),
+            rnd.choice(["v", "w", None]), start, end,
+        ))
+    df = spark.createDataFrame(routes, SCHEMA)
+    got = overlap_counts(df, direct_up_to=0).collect()
+    assert {(r.partner_id, r.route_date): tuple(r)[2:] for r in got} == brute_counts(routes, lambda a: a[1:3])
+    wanted = {}
+    for a, b in brute_pairs(routes):
+        apart = None not in (a[3], b[3]) and a[3] != b[3]
+        for mine in (a, b):
+            found = wanted.setdefault(mine[0], [0, 0, 0])
+            found[0] += 1
+            found[1] += apart
+            found[2] += apart and a[4] is not None and a[4] == b[4]
+    assert {r.route_id: list(r)[3:] for r in overlaps_per_interval(df).collect()} == {k: list(v) for k, v in wanted.items()}
+
+
+def shuffled_rows(df):
+    """Rows written to shuffles by running the frame, per the metrics of its final plan."""
+    df.collect()
+    done, rows, seen = [df._jdf.queryExecution().executedPlan()], 0, set()
+    while done:
+        node = done.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            done.append(node.executedPlan())
+        elif "QueryStage" in name:
+            done.append(node.plan())
+        elif not name.startswith("Reused"):
+            if name == "Exchange" and node.id() not in seen:
+                rows += node.metrics().apply("shuffleRecordsWritten").value()
+            seen.add(node.id())
+            children = node.children()
+            done += [children.apply(i) for i in range(children.size())]
+    return rows
+
+
+def small_groups(spark, n=600):
+    routes = []
+    for i in range(n):
+        start = datetime(2025, 4, 1, 6) + timedelta(minutes=i * 37 % 360)
+        routes.append((
+            f"R{i:04d}", f"P{i % 30}", date(2025, 4, 1), f"DC-{i % 7}", f"v{i % 5}", start,
+            start + timedelta(minutes=120 + i * 53 % 480),
+        ))
+    return spark.createDataFrame(routes, SCHEMA)
+
+
+def test_ranked_counts_shuffle_few_rows(spark):
+    assert shuffled_rows(overlap_counts(small_groups(spark), direct_up_to=0)) < 30 * 600
