@@ -214,3 +214,7 @@ def small_groups(spark, n=600):
 
 def test_ranked_counts_shuffle_few_rows(spark):
     assert shuffled_rows(overlap_counts(small_groups(spark), direct_up_to=0)) < 30 * 600
+
+
+def test_overlaps_per_interval_shuffle_few_rows(spark):
+    assert shuffled_rows(overlaps_per_interval(small_groups(spark))) < 30 * 600
