@@ -218,3 +218,8 @@ def test_ranked_counts_shuffle_few_rows(spark):
 
 def test_overlaps_per_interval_shuffle_few_rows(spark):
     assert shuffled_rows(overlaps_per_interval(small_groups(spark))) < 30 * 600
+
+
+def test_counts_of_both_ways_plan_few_exchanges(spark):
+    plan = overlap_counts(small_groups(spark), per=["partner_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") < 100
