@@ -220,6 +220,17 @@ def test_overlaps_per_interval_shuffle_few_rows(spark):
     assert shuffled_rows(overlaps_per_interval(small_groups(spark))) < 30 * 600
 
 
+def test_overlaps_per_interval_shuffle_rows_of_small_groups_once(spark):
+    assert shuffled_rows(overlaps_per_interval(small_groups(spark))) < 3 * 600
+
+
+@pytest.mark.parametrize("direct_up_to", [0, 40])
+def test_overlaps_per_interval_of_both_ways_are_the_same(spark, direct_up_to):
+    routes = spark.createDataFrame(random_routes(seed=19), SCHEMA)
+    got = overlaps_per_interval(routes, direct_up_to=direct_up_to)
+    assert sorted(map(str, got.collect())) == sorted(map(str, overlaps_per_interval(routes, direct_up_to=10_000).collect()))
+
+
 def test_counts_of_both_ways_plan_few_exchanges(spark):
     plan = overlap_counts(small_groups(spark), per=["partner_id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") < 100
