@@ -18,12 +18,14 @@ any length is cut. An empty table gives an empty plan. Rows need no unique doc_i
 
 from __future__ import annotations
 
-import unicodedata
+import itertools
+import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,10 +34,11 @@ from waybill.llm.arrays import column_of, gathered
 from waybill.sources.scratch import stored
 
 CAPACITY = 2048
-#: Chunks and pre-tokens whose ids a Python worker keeps, the first met: some 200 bytes each.
-_CHUNKS, _PRE_TOKENS = 450_000, 900_000
-#: Pre-tokens encoded at once.
+#: Chunks whose ids a Python worker keeps, the first met, as arrays: some 45 bytes each, idle or not.
+_KEPT = 1_000_000
+#: New chunks encoded at once, and bytes of text whose distinct chunks are looked up.
 _BATCH = 4096
+_SLICE = 4 << 20
 
 
 def tokenizer_file(name: str) -> str:
@@ -44,67 +47,64 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-#: How the tokenizer parts a text, in lower case: a property of its file.
-_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same for characters of one byte each.
-_LATIN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\s]|_)+"
+#: Chunks that must not be encoded apart from their neighbours, and characters that part words here or there.
+_ODD = "<\\||[\u03a3\u0130\x1c-\x1f\x85]"
 
 
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids of texts as little-endian 32-bit integers, with those of each chunk and pre-token kept.
+def encoder(path: str) -> Callable[[pa.Array], list[bytes]]:
+    """Ids of texts (null: empty) as little-endian 32-bit integers.
 
-    The tokenizer encodes each pre-token by itself, so a text's ids are its pre-tokens' ids; what
-    this cutting could treat otherwise (special tokens, context-dependent lower case, control
-    characters) goes to the tokenizer whole. The kept ids last as long as the Python worker.
+    The tokenizer parts texts at blanks and encodes each part by itself, so each distinct chunk of
+    the texts given at once is encoded once, many in a call, and the ids are put together as arrays;
+    a text with a chunk that this cutting could treat otherwise (special tokens, context-dependent
+    lower case, control characters) goes to the tokenizer whole. The first chunks' ids are kept as
+    long as the Python worker.
     """
-    import os
-    import re
-
-    import regex
     import tokenizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = tokenizers.Tokenizer.from_file(path)
-    known, chunks = tokenizers.__dict__.setdefault("kept_ids", {}).setdefault(path, ({}, {}))
-    cut, latin = regex.compile(_CUT), re.compile(_LATIN)
-    odd = re.compile("<\\||[\u03a3\u0130\x1c-\x1f\x85]")
-    normal = unicodedata.normalize
-
-    def pre_tokens(chunk: str) -> list[str]:
-        try:
-            chunk.encode("latin-1")
-        except UnicodeEncodeError:
-            return cut.findall(normal("NFC", chunk).lower())
-        return latin.findall(chunk.lower())
-
-    def learned(new: set[str]) -> dict[str, bytes]:
-        """Ids of chunks; what is kept grows until it is full, as frequent chunks come early."""
-        parts = {chunk: pre_tokens(chunk) for chunk in new}
-        fresh = list({part for own in parts.values() for part in own if part not in known})
-        ids = {}
-        for at in range(0, len(fresh), _BATCH):  # the tokenizer's results are far larger than the ids
-            own = fresh[at : at + _BATCH]
-            encoded = tokenizer.encode_batch_fast(own, add_special_tokens=False)
-            ids.update((part, np.asarray(x.ids, "<u4").tobytes()) for part, x in zip(own, encoded, strict=True))
-        found = {chunk: b"".join([known[x] if x in known else ids[x] for x in own]) for chunk, own in parts.items()}
-        if len(known) < _PRE_TOKENS:
-            known.update(ids)
-        if len(chunks) < _CHUNKS:
-            chunks.update(found)
-        return found
-
-    def encode(texts: list[str]) -> list[bytes]:
-        parts = [[] if odd.search(text) else text.split() for text in texts]
-        now = learned(set().union(*parts) - chunks.keys())
-        out = []
-        for text, own in zip(texts, parts, strict=True):
-            if not own and text:
-                out.append(np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            ids = list(map(chunks.get, own))
-            if None in ids:
-                ids = [now[chunk] if x is None else x for chunk, x in zip(own, ids, strict=True)]
-            out.append(b"".join(ids))
+
+    none = [pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(1, np.int64)]
+    kept = tokenizers.__dict__.setdefault("kept_ids", {}).setdefault(path, none)  # chunks, ids, where each chunk's begin
+
+    def of_chunks(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each chunk's run of them begins and its length."""
+        known, flat, at = kept
+        place = pc.fill_null(pc.index_in(chunks, value_set=known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh = chunks.take(pa.array(new))
+        place[new] = len(known) + np.arange(len(new))
+        ids, ends = [flat], [at]
+        for low in range(0, len(fresh), _BATCH):
+            own = fresh.slice(low, _BATCH).to_pylist()
+            encoded = tokenizer.encode(" ".join(own), add_special_tokens=False)
+            ids.append(np.asarray(encoded.ids, "<u4"))
+            starts = np.fromiter((x for x, _ in encoded.offsets), np.int64, len(ids[-1]))
+            last = np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) + 1)  # past the blank behind it
+            ends.append(np.searchsorted(starts, last) + ends[-1][-1])
+        flat, at = np.concatenate(ids), np.concatenate(ends)
+        n = min(_KEPT, len(known) + len(fresh))  # grows until it is full: frequent chunks come early
+        if n > len(known):
+            kept[:] = pa.concat_arrays([known, fresh.slice(0, n - len(known))]), flat[: at[n]].copy(), at[: n + 1].copy()
+        return flat, at[place], np.diff(at)[place]
+
+    def encode(texts: pa.Array) -> list[bytes]:
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        chunks, which = coded.dictionary, coded.indices.to_numpy()
+        flat, at, lengths = of_chunks(chunks)
+        at, sizes = at[which], lengths[which]
+        # Ids of all texts: each chunk's run of ids, moved to its place.
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.repeat(at - before[:-1], sizes) + np.arange(before[-1])]
+        first = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+        out = [ids[low:high].tobytes() for low, high in itertools.pairwise(before[first].tolist())]
+        odd = pc.match_substring_regex(chunks, _ODD).to_numpy(zero_copy_only=False)
+        if odd.any():
+            for row in np.unique(np.searchsorted(first, np.flatnonzero(odd[which]), "right") - 1).tolist():
+                encoded = tokenizer.encode(texts[row].as_py(), add_special_tokens=False)
+                out[row] = np.asarray(encoded.ids, "<u4").tobytes()
         return out
 
     return encode
@@ -122,15 +122,16 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Da
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer), TaskContext.get().partitionId()
-        for rows in gathered(batches, "text", 1 << 20):
+        for rows in gathered(batches, "text", _SLICE):
             out: list[tuple] = []
-            encoded = encode([text or "" for text in column_of(rows, "text").to_pylist()])
+            encoded = encode(column_of(rows, "text"))
             for doc_id, ids in zip(column_of(rows, "doc_id").to_pylist(), encoded, strict=True):
                 ids += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     out.append((doc_id, part, piece, at // 4, len(own) // 4, zlib.crc32(own)))
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        pa.default_memory_pool().release_unused()  # the worker stays
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
 
