@@ -3,7 +3,10 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 from waybill.llm import collocations
+from waybill.sources.scratch import stored
 
 SCHEMA = "doc_id long, text string, lang string, p1 string, cnt string, f string"
 
@@ -58,3 +61,37 @@ def test_collocations_empty(spark):
     assert collocations.mine(empty).count() == 0
     blank = spark.createDataFrame([(1, None, None, None, None, None), (2, ". ,;", "en", None, None, None)], SCHEMA)
     assert collocations.mine(blank, min_count=1).count() == 0
+
+
+def test_slices_are_cut_between_pieces(monkeypatch):
+    """Tiny slices in one process: every phrase is counted once, none over a cut."""
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 16)
+    batch = pa.RecordBatch.from_pylist([{"text": t, "lang": lang} for t, lang in ROWS])
+    whole = [sum(c[-1] for c in brute_phrases(k)) for k in (1, 2, 3)]
+    for width, schema in ((1, collocations.WORDS), (2, collocations.ONES), (3, collocations.TWOS)):
+        names = [x.split()[0] for x in schema.split(", ")]
+        out = list(collocations._mapper(width, names)(iter([batch])))
+        assert len(out) > 3  # more slices than languages
+        assert sum(sum(x.column("cnt").to_pylist()) for x in out) == whole[width - 1]
+
+
+def brute_phrases(k):
+    for text, _ in ROWS:
+        for piece in re.split(r"[.,;:!?\n\x0b\x0c\r]", text or ""):
+            words = re.findall(r"[^ \t]+", piece)
+            yield (max(0, len(words) - k + 1),)
+
+
+def test_entries_are_merged_by_hash_and_rare_ones_not_stored(spark, monkeypatch):
+    plans, tables = [], []
+
+    def kept(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        tables.append(stored(df, purpose))
+        return tables[-1]
+
+    monkeypatch.setattr(collocations, "stored", kept)
+    frame = spark.createDataFrame([(i, t, lang, "c", "c", "c") for i, (t, lang) in enumerate(ROWS)], SCHEMA)
+    collocations.merged_stripes(frame, min_count=3)
+    assert len(plans) == 3 and not any("SortAggregate" in x for x in plans)
+    assert all(x.where("cnt < 3").count() == 0 for x in tables[1:])

@@ -4,17 +4,19 @@ Texts are lower-cased in A-Z only, cut into pieces at ``[.,;:!?\\n\\x0b\\x0c\\r]
 words ``[^ \\t]+``; phrases never cross a piece.
 
 1. **Stripes in the mapper.** For every word, the task's stripe of that word (a prefix of one word)
-   counts the word after it, the end of a piece counting as a next word of its own (``next`` null):
-   a stripe holds a prefix's extensions *and*, by its sum, the prefix's own total. A second pass
-   builds the stripes of two-word prefixes (third words). Stripes are built per slice of about
-   ``SLICE_BYTES`` of text with Python dictionaries, so memory is bounded per task. Before the
-   second pass is shuffled, its entries are pruned exactly: see ``merged_stripes``.
+   counts the words after it in its piece; another pass builds the stripes of two-word prefixes (third
+   words), and a first one the totals of the words. Stripes are built per slice of about
+   ``SLICE_BYTES`` of text: words are numbered by Arrow's dictionary encoding of their lower-cased
+   bytes, and a slice's stripes are its sorted (prefix, next) numbers with their counts, so memory is
+   bounded per task. Before the last pass is shuffled, its entries are pruned exactly: see
+   ``merged_stripes``.
 2. **Elementwise merge.** Stripe entries are keyed by (lang, prefix, next) and summed by Spark, which
    combines them map-side first; a frequent prefix's stripe is spread over reducers by its next words,
    so no prefix is ever one task's work.
-3. **One structure, three answers.** The merged stripes are written once to the shared folder (so a
-   lost executor repeats no text work and every later step reads them, not the texts). From them: extensions give f of every two- and
-   three-word phrase, stripe totals give f of every word (and n), and the largest extension of a
+3. **Three answers.** The words and the merged entries that reach ``min_count`` are written once to
+   the shared folder (so a lost executor repeats no text work and every later step reads them, not
+   the texts). Entries give f of every two- and three-word phrase that matters, as a candidate's parts
+   are no rarer than it is; totals give f of every word (and n), and the largest extension of a
    two-word prefix that is a candidate, with the same maximum taken over the candidates' suffixes,
    decides subsumption.
 4. Candidates (2 or 3 words, ``a >= min_count``) are scored exactly: ``floor(10^6 a^2 / (l r))`` in
@@ -24,135 +26,152 @@ words ``[^ \\t]+``; phrases never cross a piece.
    of each of ``SALTS`` parts of a language (by the phrase's hash), then of the survivors, so no task
    ranks all of a language's candidates.
 
-Words travel as 64-bit ids (xxh64 of their bytes) from the mappers on; each word's text rides along
-once in its total's row and is joined back to the candidates only. Two words with one id in a
+Words travel as 64-bit ids (xxh64 of their bytes) from the mappers on; each word's text is in its
+total's row and is joined back to the candidates only. Two words with one id in a
 language stop the run with an error instead of merging their counts.
 
 Defined results for odd input: null text counts as empty, null lang as ``und``; texts without words
 give nothing; repeated rows count every time; columns of the input other than the text and language
-are ignored, so their names cannot clash. Very long texts are read whole (they are sliced between
-pieces only when a single text exceeds a slice, never cut inside a piece).
+are ignored, so their names cannot clash. Texts longer than a slice are cut between pieces, never
+inside one.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.llm.arrays import Words, column_of, gathered
 from waybill.sources.scratch import stored
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 8 << 20
 BROADCAST_PAIRS = 1_000_000
 SALTS = 64
 PIECES = re.compile(r"[.,;:!?\n\x0b\x0c\r]")
-WORDS = re.compile(r"[^ \t]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-ONES = "lang string, p1 long, next long, cnt long, word string"
+WORDS = "lang string, p1 long, word string, cnt long"
+ONES = "lang string, p1 long, next long, cnt long"
 TWOS = "lang string, p1 long, p2 long, next long, cnt long"
 
+_ENDS_PIECE = np.zeros(256, bool)
+_ENDS_PIECE[list(b".,;:!?\n\x0b\x0c\r")] = True
+_PARTS = _ENDS_PIECE.copy()
+_PARTS[list(b" \t")] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
-def _ids(words: set[str]) -> dict[str, int]:
+
+def _ids(words: list[str]) -> np.ndarray:
     """A 64-bit id for each word (xxh64 of its UTF-8 bytes, signed). Collisions are checked later."""
-    out = {}
-    for w in words:
-        h = xxhash.xxh64_intdigest(w.encode("utf-8"))
-        out[w] = h - (1 << 64) if h >= 1 << 63 else h
-    return out
-
-
-def _stripes(tokens: dict[str, list], width: int) -> pa.RecordBatch:
-    """Per language, the stripes of a slice's token list (None ends a piece), words by 64-bit ids.
-
-    Width 2: the stripe of each word: its total (``next`` null, with the word's text) and the words
-    after it. Width 3: the stripe of each two-word prefix: the third words."""
-    lang, p1, p2, nxt, cnt, text = [], [], [], [], [], []
-    for code, toks in tokens.items():
-        ids = _ids({t for t in toks if t is not None})
-        ids[None] = None
-        h = [ids[t] for t in toks]
-        if width == 2:
-            for w, c in Counter(t for t in toks if t is not None).items():
-                lang.append(code), p1.append(ids[w]), nxt.append(None), cnt.append(c), text.append(w)
-            for (a, b), c in Counter(pair for pair in zip(h, h[1:]) if None not in pair).items():
-                lang.append(code), p1.append(a), nxt.append(b), cnt.append(c), text.append(None)
-        else:
-            for (a, b, d), c in Counter(t for t in zip(h, h[1:], h[2:]) if None not in t).items():
-                lang.append(code), p1.append(a), p2.append(b), nxt.append(d), cnt.append(c)
-    arrays = [pa.array(lang, pa.string()), pa.array(p1, pa.int64())]
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in words), np.uint64, len(words)).view(np.int64)
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(codes, return_counts=True)
+
+
+def _stripes(texts: pa.Array, width: int) -> list[pa.Array]:
+    """The stripes of some texts of one language, in order of their prefixes, words by 64-bit ids.
+
+    Width 1: each word's id, text and total. Width 2: the stripe of each word, the words after it.
+    Width 3: the stripe of each two-word prefix, the third words."""
+    words = Words(texts, _PARTS)
+    lengths = words.ends - words.starts
+    inside = ~_PARTS[words.data]
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    plain = pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(bounds), pa.py_buffer(_LOWER[words.data[inside]]))
+    coded = plain.dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    at, ids, n = coded.indices.to_numpy().astype(np.int64), _ids(distinct), max(1, len(distinct))
+    if width == 1:
+        return [pa.array(ids), coded.dictionary.cast(pa.string()), pa.array(np.bincount(at, minlength=len(distinct)))]
+    # The number of piece ends before a word; the end of a row is one, too.
+    piece = np.concatenate([np.zeros(1, np.int32), np.cumsum(_ENDS_PIECE[words.data], dtype=np.int32)])[words.starts] + words.row
+    joined = piece[1:] == piece[:-1]
     if width == 2:
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(nxt, pa.int64()), pa.array(cnt, pa.int64()), pa.array(text, pa.string())],
-                                          names=["lang", "p1", "next", "cnt", "word"])
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(p2, pa.int64()), pa.array(nxt, pa.int64()), pa.array(cnt, pa.int64())],
-                                      names=["lang", "p1", "p2", "next", "cnt"])
-
-
-def _mapper(width: int):
+        codes, counts = _counted((at[:-1] * n + at[1:])[joined])
+        return [pa.array(ids[codes // n]), pa.array(ids[codes % n]), pa.array(counts)]
+    both = joined[1:] & joined[:-1]
+    prefixes, which = np.unique((at[:-2] * n + at[1:-1])[both], return_inverse=True)
+    codes, counts = _counted(which * n + at[2:][both])
+    prefix = prefixes[codes // n]
+    return [pa.array(ids[prefix // n]), pa.array(ids[prefix % n]), pa.array(ids[codes % n]), pa.array(counts)]
+
+
+def _cut(text: str) -> Iterator[str]:
+    """A text in parts of about a slice, cut between pieces only."""
+    at = 0
+    while len(text) - at > SLICE_BYTES and (end := PIECES.search(text, at + SLICE_BYTES)):
+        yield text[at : end.end()]
+        at = end.end()
+    yield text[at:]
+
+
+def _cut_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, those of texts longer than a slice cut into several."""
+    for batch in batches:
+        if (pc.max(pc.binary_length(batch.column(0))).as_py() or 0) > SLICE_BYTES:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            parts = [(part, lang) for text, lang in rows for part in _cut(text or "")]
+            batch = pa.RecordBatch.from_pylist([{"text": t, "lang": l} for t, l in parts], schema=batch.schema)
+        yield batch
+
+
+def _mapper(width: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens: dict[str, list] = {}
-        held = 0
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            langs = batch.column(1).to_pylist()
-            for text, code in zip(texts, langs):
-                if not text:
-                    continue
-                toks = tokens.setdefault("und" if code is None else code, [])
-                for piece in PIECES.split(text.translate(LOWER)):
-                    words = WORDS.findall(piece)
-                    if words:
-                        toks.extend(words)
-                        toks.append(None)
-                        held += len(piece)
-                    if held >= SLICE_BYTES:
-                        yield _stripes(tokens, width)
-                        tokens = {k: [] for k in tokens}
-                        toks = tokens["und" if code is None else code]
-                        held = 0
-        if held:
-            yield _stripes(tokens, width)
+        for rows in gathered(_cut_long(batches), "text", SLICE_BYTES):
+            langs = pc.fill_null(column_of(rows, "lang"), "und")
+            for lang in pc.unique(langs):
+                stripes = _stripes(column_of(rows, "text").filter(pc.equal(langs, lang)), width)
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(stripes[0])), *stripes], names=names)
 
     return run
 
 
 def _source(documents: DataFrame, text: str, lang: str) -> DataFrame:
-    return documents.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    return documents.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
 
 
-def merged_stripes(documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 1) -> tuple[DataFrame, DataFrame]:
-    """The merged one-word stripes (lang, p1, next, cnt, word; ``next`` null: the word's total, with
-    its text) and two-word stripes (lang, p1, p2, next, cnt), words by 64-bit ids, each written once
-    to the shared folder. Two words with one id in a language raise an error: no count is merged
-    silently.
+def merged_stripes(
+    documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 1
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The words (lang, p1, word, cnt), the merged one-word stripes (lang, p1, next, cnt) and two-word
+    stripes (lang, p1, p2, next, cnt) with entries of at least ``min_count``, words by 64-bit ids,
+    each written once to the shared folder. Two words with one id in a language raise an error: no
+    count is merged silently.
 
     A three-word phrase can reach ``min_count`` only if both its two-word parts do. When at most
     ``BROADCAST_PAIRS`` two-word phrases do (counted first), they are broadcast and every other
     two-word stripe entry is dropped in the mapper's task, before the shuffle; beyond that count all
-    entries are shuffled. Either way the kept counts of three-word phrases are exact.
+    entries are shuffled. Either way the kept counts are exact.
     """
     source = _source(documents, text, lang)
-    ones = stored(
-        source.mapInArrow(_mapper(2), ONES)
-        .groupBy("lang", "p1", "next")
-        .agg(F.sum("cnt").alias("cnt"), F.min("word").alias("word"), F.max("word").alias("_other")),
-        "stripes",
-    )
-    if ones.where(F.col("word") != F.col("_other")).limit(1).count():
+
+    def merged(width: int, schema: str) -> DataFrame:
+        names = [x.split()[0] for x in schema.split(", ")]
+        return source.mapInArrow(_mapper(width, names), schema)
+
+    def summed(entries: DataFrame) -> DataFrame:
+        keys = [c for c in entries.columns if c != "cnt"]
+        return entries.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
+
+    words = stored(summed(merged(1, WORDS)), "stripes")
+    if words.groupBy("lang", "p1").count().where("count > 1").limit(1).count():
         raise ArithmeticError("two words share a 64-bit id; counts would merge")
-    ones = ones.drop("_other")
-    twos = source.mapInArrow(_mapper(3), TWOS)
-    frequent = ones.where(F.col("next").isNotNull() & (F.col("cnt") >= min_count)).select("lang", "p1", "next")
-    if min_count > 1 and frequent.count() <= BROADCAST_PAIRS:
-        first = F.broadcast(frequent.select("lang", "p1", F.col("next").alias("p2")))
-        second = F.broadcast(frequent.select("lang", F.col("p1").alias("p2"), "next"))
+    ones = stored(summed(merged(2, ONES)).where(F.col("cnt") >= min_count), "stripes")
+    twos = merged(3, TWOS)
+    if min_count > 1 and ones.count() <= BROADCAST_PAIRS:
+        first = F.broadcast(ones.select("lang", "p1", F.col("next").alias("p2")))
+        second = F.broadcast(ones.select("lang", F.col("p1").alias("p2"), "next"))
         twos = twos.join(first, ["lang", "p1", "p2"], "left_semi").join(second, ["lang", "p2", "next"], "left_semi")
-    twos = stored(twos.groupBy("lang", "p1", "p2", "next").agg(F.sum("cnt").alias("cnt")), "stripes")
-    return ones, twos
+    twos = stored(summed(twos.select("lang", "p1", "p2", "next", "cnt")).where(F.col("cnt") >= min_count), "stripes")
+    return words, ones, twos
 
 
 def _score(a: str, l: str, r: str):
@@ -165,12 +184,12 @@ def _score(a: str, l: str, r: str):
 
 def mine(documents: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 10, top: int = 2000) -> DataFrame:
     """Each language's first ``top`` collocations: lang, rank, phrase, a, l, r, n, score (all numbers long)."""
-    ones, twos = merged_stripes(documents, text, lang, min_count)
-    words = ones.where(F.col("next").isNull()).select("lang", "p1", F.col("cnt").alias("f"), "word")  # stripe totals
+    words, ones, twos = merged_stripes(documents, text, lang, min_count)
+    words = words.select("lang", "p1", F.col("cnt").alias("f"), "word")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs = ones.where(F.col("next").isNotNull()).select("lang", "p1", F.col("next").alias("p2"), F.col("cnt").alias("f"))
+    pairs = ones.select("lang", "p1", F.col("next").alias("p2"), F.col("cnt").alias("f"))
     triples = twos.select("lang", "p1", "p2", F.col("next").alias("p3"), F.col("cnt").alias("f"))
-    long_candidates = triples.where(F.col("f") >= min_count)
+    long_candidates = triples
     # subsumption maxima: over the extensions of a two-word prefix, and over the two-word suffixes
     right = long_candidates.groupBy("lang", "p1", "p2").agg(F.max("f").alias("right_max"))
     left = long_candidates.groupBy("lang", F.col("p2").alias("p1"), F.col("p3").alias("p2")).agg(F.max("f").alias("left_max"))
@@ -182,8 +201,7 @@ def mine(documents: DataFrame, text: str = "text", lang: str = "lang", min_count
         return pairs.select("lang", F.col("p1").alias(f"w{i}"), F.col("p2").alias(f"w{j}"), F.col("f").alias(f"f{i}{j}"))
 
     short = (
-        pairs.where(F.col("f") >= min_count)
-        .join(right, ["lang", "p1", "p2"], "left")
+        pairs.join(right, ["lang", "p1", "p2"], "left")
         .join(left, ["lang", "p1", "p2"], "left")
         .where((F.coalesce("right_max", F.lit(0)) * 2 < F.col("f")) & (F.coalesce("left_max", F.lit(0)) * 2 < F.col("f")))
         .select("lang", F.col("p1").alias("w1"), F.col("p2").alias("w2"), "f")
