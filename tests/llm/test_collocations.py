@@ -95,3 +95,44 @@ def test_entries_are_merged_by_hash_and_rare_ones_not_stored(spark, monkeypatch)
     collocations.merged_stripes(frame, min_count=3)
     assert len(plans) == 3 and not any("SortAggregate" in x for x in plans)
     assert all(x.where("cnt < 3").count() == 0 for x in tables[1:])
+
+
+def test_rare_parts_are_pruned_in_the_mapper(spark, monkeypatch):
+    """No pair or triple with a rare part leaves a mapper, and no table of pairs is joined for that."""
+    plans, made = [], []
+    mapper = collocations._mapper
+
+    def kept(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, purpose)
+
+    def noted(width, names, frequent=None):
+        made.append((width, names, frequent))
+        return mapper(width, names, frequent)
+
+    monkeypatch.setattr(collocations, "stored", kept)
+    monkeypatch.setattr(collocations, "_mapper", noted)
+    rows = [*ROWS, *[(f"rare{i} next{i} last{i} new york is rare{i}", "en") for i in range(50)]]
+    frame = spark.createDataFrame([(i, t, lang, "c", "c", "c") for i, (t, lang) in enumerate(rows)], SCHEMA)
+    words, ones, _ = collocations.merged_stripes(frame, min_count=3)
+    assert not any("Broadcast" in x for x in plans)
+    often = {(r["lang"], r["p1"]) for r in words.where("cnt >= 3").collect()}
+    pairs = {(r["lang"], r["p1"], r["next"]) for r in ones.collect()}
+    batch = pa.RecordBatch.from_pylist([{"text": t, "lang": lang} for t, lang in rows])
+    for width, names, frequent in made[1:]:
+        out = [r for x in mapper(width, names, frequent)(iter([batch])) for r in x.to_pylist()]
+        assert out
+        for r in out:
+            if width == 2:
+                assert {(r["lang"], r["p1"]), (r["lang"], r["next"])} <= often
+            else:
+                assert {(r["lang"], r["p1"], r["p2"]), (r["lang"], r["p2"], r["next"])} <= pairs
+    got = sorted(tuple(r) for r in collocations.mine(frame, min_count=3, top=5).collect())
+    assert got == brute(rows, 3, 5)
+
+
+def test_batches_for_spark_are_bounded(monkeypatch):
+    monkeypatch.setattr(collocations, "_ROWS", 3, raising=False)
+    batch = pa.RecordBatch.from_pylist([{"text": t, "lang": lang} for t, lang in ROWS])
+    out = list(collocations._mapper(1, ["lang", "p1", "word", "cnt"])(iter([batch])))
+    assert max(x.num_rows for x in out) == 3

@@ -8,7 +8,7 @@ words ``[^ \\t]+``; phrases never cross a piece.
    words), and a first one the totals of the words. Stripes are built per slice of about
    ``SLICE_BYTES`` of text: words are numbered by Arrow's dictionary encoding of their lower-cased
    bytes, and a slice's stripes are its sorted (prefix, next) numbers with their counts, so memory is
-   bounded per task. Before the last pass is shuffled, its entries are pruned exactly: see
+   bounded per task. Entries whose parts are too rare are pruned exactly, before they are made: see
    ``merged_stripes``.
 2. **Elementwise merge.** Stripe entries are keyed by (lang, prefix, next) and summed by Spark, which
    combines them map-side first; a frequent prefix's stripe is spread over reducers by its next words,
@@ -45,19 +45,25 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.arrays import Words, column_of, gathered
+from waybill.llm.arrays import Words, column_of, gathered, mixed
+from waybill.llm.bitmap import among, marked
 from waybill.sources.scratch import stored
 
-SLICE_BYTES = 8 << 20
-BROADCAST_PAIRS = 1_000_000
+SLICE_BYTES = 4 << 20
+#: Rows of a batch that goes back to Spark.
+_ROWS = 100_000
 SALTS = 64
 PIECES = re.compile(r"[.,;:!?\n\x0b\x0c\r]")
 WORDS = "lang string, p1 long, word string, cnt long"
 ONES = "lang string, p1 long, next long, cnt long"
 TWOS = "lang string, p1 long, p2 long, next long, cnt long"
+#: Bits of a bitmap (as a power of two) and the broadcast bitmap.
+Marks = tuple[int, Broadcast]
+_BASE = 0x9E3779B97F4A7C15
 
 _ENDS_PIECE = np.zeros(256, bool)
 _ENDS_PIECE[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -76,15 +82,37 @@ def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(codes, return_counts=True)
 
 
-def _stripes(texts: pa.Array, width: int) -> list[pa.Array]:
+def _hashes(lang: np.uint64 | np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+    """64 bits for each word, or two words, of a language; lang: xxh64 of its name."""
+    out = mixed(first.view(np.uint64) ^ lang)
+    return out if second is None else mixed(out * np.uint64(_BASE) + second.view(np.uint64))
+
+
+def _lang_hash(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+
+
+def _frequent(entries: DataFrame, columns: list[str]) -> Marks:
+    """A bitmap of the words or pairs of words in the entries, broadcast."""
+
+    def hashes(batch: pa.RecordBatch) -> np.ndarray:
+        langs = batch.column("lang").dictionary_encode()
+        lang = np.array([_lang_hash(x) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
+        return _hashes(lang, *(batch.column(c).to_numpy() for c in columns))
+
+    bits, bitmap = marked(entries.select("lang", *columns), hashes)
+    return bits, entries.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _stripes(texts: pa.Array, width: int, lang: str, frequent: Marks | None) -> list[pa.Array]:
     """The stripes of some texts of one language, in order of their prefixes, words by 64-bit ids.
 
     Width 1: each word's id, text and total. Width 2: the stripe of each word, the words after it.
-    Width 3: the stripe of each two-word prefix, the third words."""
+    Width 3: the stripe of each two-word prefix, the third words. ``frequent`` leaves out entries with
+    a word (width 2) or a pair (width 3) that is not marked."""
     words = Words(texts, _PARTS)
-    lengths = words.ends - words.starts
     inside = ~_PARTS[words.data]
-    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    bounds = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
     plain = pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(bounds), pa.py_buffer(_LOWER[words.data[inside]]))
     coded = plain.dictionary_encode()
     distinct = coded.dictionary.to_pylist()
@@ -94,6 +122,14 @@ def _stripes(texts: pa.Array, width: int) -> list[pa.Array]:
     # The number of piece ends before a word; the end of a row is one, too.
     piece = np.concatenate([np.zeros(1, np.int32), np.cumsum(_ENDS_PIECE[words.data], dtype=np.int32)])[words.starts] + words.row
     joined = piece[1:] == piece[:-1]
+    if frequent:
+        bits, bitmap = frequent[0], frequent[1].value
+        if width == 2:
+            often = among(_hashes(_lang_hash(lang), ids), bits, bitmap)[at]
+            joined &= often[1:] & often[:-1]
+        else:
+            pairs = np.flatnonzero(joined)
+            joined[pairs] = among(_hashes(_lang_hash(lang), ids[at[pairs]], ids[at[pairs + 1]]), bits, bitmap)
     if width == 2:
         codes, counts = _counted((at[:-1] * n + at[1:])[joined])
         return [pa.array(ids[codes // n]), pa.array(ids[codes % n]), pa.array(counts)]
@@ -123,13 +159,15 @@ def _cut_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch
 
 
-def _mapper(width: int, names: list[str]):
+def _mapper(width: int, names: list[str], frequent: Marks | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in gathered(_cut_long(batches), "text", SLICE_BYTES):
             langs = pc.fill_null(column_of(rows, "lang"), "und")
             for lang in pc.unique(langs):
-                stripes = _stripes(column_of(rows, "text").filter(pc.equal(langs, lang)), width)
-                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(stripes[0])), *stripes], names=names)
+                stripes = _stripes(column_of(rows, "text").filter(pc.equal(langs, lang)), width, lang.as_py(), frequent)
+                for at in range(0, len(stripes[0]), _ROWS):
+                    own = [x.slice(at, _ROWS) for x in stripes]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(own[0])), *own], names=names)
 
     return run
 
@@ -146,16 +184,17 @@ def merged_stripes(
     each written once to the shared folder. Two words with one id in a language raise an error: no
     count is merged silently.
 
-    A three-word phrase can reach ``min_count`` only if both its two-word parts do. When at most
-    ``BROADCAST_PAIRS`` two-word phrases do (counted first), they are broadcast and every other
-    two-word stripe entry is dropped in the mapper's task, before the shuffle; beyond that count all
-    entries are shuffled. Either way the kept counts are exact.
+    A phrase can reach ``min_count`` only if its words and both two-word parts of it do. So the words
+    that do are marked in a bitmap of bounded size that the second pass looks words up in, and the
+    two-word phrases that do in another, for the third pass; entries with an unmarked part are not
+    even made. A phrase marked in vain is counted like the others and dropped by its count, so the
+    kept counts are exact.
     """
     source = _source(documents, text, lang)
 
-    def merged(width: int, schema: str) -> DataFrame:
+    def merged(width: int, schema: str, frequent: Marks | None = None) -> DataFrame:
         names = [x.split()[0] for x in schema.split(", ")]
-        return source.mapInArrow(_mapper(width, names), schema)
+        return source.mapInArrow(_mapper(width, names, frequent), schema)
 
     def summed(entries: DataFrame) -> DataFrame:
         keys = [c for c in entries.columns if c != "cnt"]
@@ -164,13 +203,10 @@ def merged_stripes(
     words = stored(summed(merged(1, WORDS)), "stripes")
     if words.groupBy("lang", "p1").count().where("count > 1").limit(1).count():
         raise ArithmeticError("two words share a 64-bit id; counts would merge")
-    ones = stored(summed(merged(2, ONES)).where(F.col("cnt") >= min_count), "stripes")
-    twos = merged(3, TWOS)
-    if min_count > 1 and ones.count() <= BROADCAST_PAIRS:
-        first = F.broadcast(ones.select("lang", "p1", F.col("next").alias("p2")))
-        second = F.broadcast(ones.select("lang", F.col("p1").alias("p2"), "next"))
-        twos = twos.join(first, ["lang", "p1", "p2"], "left_semi").join(second, ["lang", "p2", "next"], "left_semi")
-    twos = stored(summed(twos.select("lang", "p1", "p2", "next", "cnt")).where(F.col("cnt") >= min_count), "stripes")
+    frequent = _frequent(words.where(F.col("cnt") >= min_count), ["p1"]) if min_count > 1 else None
+    ones = stored(summed(merged(2, ONES, frequent)).where(F.col("cnt") >= min_count), "stripes")
+    frequent = _frequent(ones, ["p1", "next"]) if min_count > 1 else None
+    twos = stored(summed(merged(3, TWOS, frequent)).where(F.col("cnt") >= min_count), "stripes")
     return words, ones, twos
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.llm.arrays import Words, byte_values, column_of, gathered, mixed, rolling, spaces
+from waybill.llm.bitmap import among, marked
 from waybill.llm.components import components
 from waybill.sources.scratch import stored
 
@@ -89,6 +90,11 @@ def set_keys(value: np.ndarray, first: np.ndarray) -> list[bytes | None]:
     return out
 
 
+def _first_bits(keys: list[bytes]) -> np.ndarray:
+    """The first 64 bits of each key."""
+    return np.array([int.from_bytes(x[:8], "little") for x in keys], np.uint64)
+
+
 def _features(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     draw = np.random.default_rng(5).integers(1, 2**63, (2, TREES * DEPTH), dtype=np.uint64)
     factor, flip = draw[0] * np.uint64(2) + np.uint64(1), draw[1]
@@ -251,35 +257,6 @@ def _verified(rows: pa.Table, group: str, least: float) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([keys, pa.array(links), keys.take(pa.array(root))], names=["key", "links", "tied"])
 
 
-def _marked(keys: DataFrame, most_bits: int = 28) -> tuple[int, np.ndarray]:
-    """Bits (as a power of two, sixteen a key and at most ``most_bits``) and a bitmap of keys.
-
-    More keys fill the bitmap further, so that more texts pass in vain; the join by key is exact.
-    """
-    bits = min(most_bits, max(16, (16 * keys.count()).bit_length()))
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique([int.from_bytes(x[:8], "little") >> (64 - bits) for x in batch.column("key").to_pylist()]).astype(np.int64)
-            bounds = np.searchsorted(at >> (bits - 6), np.arange(65))
-            there = np.flatnonzero(np.diff(bounds))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(there, pa.int32()), pa.array([(at[bounds[s] : bounds[s + 1]] - (int(s) << (bits - 6))).tobytes() for s in there], pa.binary())], names=["range", "cells"]
-            )
-
-    def put(rows: pa.Table) -> pa.Table:
-        own = np.zeros(1 << (bits - 6), bool)
-        for x in rows.column("cells").to_pylist():
-            own[np.frombuffer(x, np.int64)] = True
-        return pa.table([rows.column("range").slice(0, 1), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], names=["range", "bitmap"])
-
-    bitmap = np.zeros(1 << (bits - 3), np.uint8)
-    size = 1 << (bits - 9)
-    for row in keys.mapInArrow(cells, "range int, cells binary").groupBy("range").applyInArrow(put, "range int, bitmap binary").collect():
-        bitmap[row["range"] * size : (row["range"] + 1) * size] = np.frombuffer(row["bitmap"], np.uint8)
-    return bits, bitmap
-
-
 def with_keys(documents: DataFrame, text: str = "text") -> DataFrame:
     """The rows with ``_key``, the 128 bits of their shingle set."""
     names = [x for x in documents.columns if x != "_key"]
@@ -308,7 +285,7 @@ def join(documents: DataFrame, least: float = LEAST, recall: float = RECALL, blo
     groups = components(candidates).select(F.col("node").alias("key"), F.col("root").alias("component"))
 
     grouped = stored(groups.join(classes.select("key", "least_id", "weight"), "key"), "groups")
-    bits, bitmap = _marked(grouped.select("key"))
+    bits, bitmap = marked(grouped.select("key"), lambda batch: _first_bits(batch.column("key").to_pylist()))  # the join by key is exact
     shipped = documents.sparkSession.sparkContext.broadcast(bitmap)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,9 +293,8 @@ def join(documents: DataFrame, least: float = LEAST, recall: float = RECALL, blo
             value, first = shingles_of(column_of(rows, "text"))
             keys = set_keys(value, first)
             there = [i for i, key in enumerate(keys) if key is not None]
-            at = np.array([int.from_bytes(keys[i][:8], "little") >> (64 - bits) for i in there], np.int64)
-            marked = np.flatnonzero(shipped.value[at >> 3] >> (at & 7).astype(np.uint8) & 1) if len(there) else ()
-            own = {keys[there[i]]: there[i] for i in marked}  # one of equal sets
+            hit = among(_first_bits([keys[i] for i in there]), bits, shipped.value)
+            own = {keys[there[i]]: there[i] for i in np.flatnonzero(hit)}  # one of equal sets
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(own), pa.binary()), pa.array([value[first[i] : first[i + 1]].tobytes() for i in own.values()], pa.binary())], names=["key", "shingles"]
             )
