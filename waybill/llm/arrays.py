@@ -7,6 +7,7 @@ different ones collide with probability about 2**-64 a pair.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,12 +53,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
+#: Bytes whose polynomials are summed at once: the sums and powers of a block take some 2 MB.
+_BLOCK = 1 << 16
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least n of each."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 16)
+        size = max(n, _BLOCK)
         out = []
         for base in (_BASE, pow(_BASE, -1, 2**64)):
             steps = np.full(size, base, np.uint64)
@@ -100,10 +103,18 @@ class Words:
         return len(self.starts)
 
     def hashes(self, values: np.ndarray) -> np.ndarray:
-        up, down = _powers(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(values[self.data] * up[: len(self.data)], out=total[1:])
-        return mixed((total[self.ends] - total[self.starts]) * down[self.starts])
+        """Hashes of the words, in blocks of whole words: no sums or powers as long as all the texts."""
+        out, low = np.empty(len(self), np.uint64), 0
+        while low < len(self):
+            at = self.starts[low]
+            high = max(low + 1, int(np.searchsorted(self.ends, at + _BLOCK, "right")))
+            starts, ends = self.starts[low:high] - at, self.ends[low:high] - at
+            up, down = _powers(int(ends[-1]))
+            total = np.zeros(ends[-1] + 1, np.uint64)
+            np.cumsum(values[self.data[at : at + ends[-1]]] * up[: ends[-1]], out=total[1:])
+            out[low:high] = (total[ends] - total[starts]) * down[starts]
+            low = high
+        return mixed(out)
 
 
 def rolling(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
@@ -146,8 +157,18 @@ def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def released() -> None:
+    """Gives freed memory back to the system: a Python worker stays after its task and runs others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc keeps some 100 MB otherwise
+        trim(0)
+
+
 def gathered(batches: Iterator[pa.RecordBatch], name: str, most: int) -> Iterator[pa.Table]:
-    """Rows of the batches in tables of about so many text bytes, split or put together as needed."""
+    """Rows of the batches in tables of about so many text bytes, split or put together as needed.
+
+    After the last one, memory that is not used any more is given back.
+    """
     held, size = [], 0
     for batch in batches:
         if batch.num_rows == 0:
@@ -162,6 +183,8 @@ def gathered(batches: Iterator[pa.RecordBatch], name: str, most: int) -> Iterato
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+        held = []
+    released()
 
 
 def column_of(table: pa.Table, name: str) -> pa.Array:

@@ -40,7 +40,7 @@ WORDS = 5
 TREES, DEPTH = 20, 6
 LEAST, RECALL = 0.8, 0.999
 BLOCK = 700
-_CHUNK = 3 << 20
+_CHUNK = 1 << 20
 _BASE = 0x8CB92BA72F3D8DD7
 
 

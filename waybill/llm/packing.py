@@ -131,7 +131,6 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Da
                     own = ids[at : at + 4 * capacity]
                     out.append((doc_id, part, piece, at // 4, len(own) // 4, zlib.crc32(own)))
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
-        pa.default_memory_pool().release_unused()  # the worker stays
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
 
