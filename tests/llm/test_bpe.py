@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -37,6 +38,44 @@ def test_encoder_equals_tiktoken(reference):
     assert vocab.merged(b" thhaheti") == reference.encode_ordinary(" thhaheti")
 
 
+class Counted:
+    """A pattern that counts the characters it is asked to match."""
+
+    def __init__(self, pattern):
+        self.compiled, self.pattern, self.flags, self.chars = regex.compile(pattern), pattern, 0, 0
+
+    def findall(self, text):
+        self.chars += len(text)
+        return self.compiled.findall(text)
+
+
+def test_repeated_chunks_are_matched_once(reference):
+    vocab = bpe.vocabulary(PATH)
+    texts = ["thhaheti, onttsha. " * 500, "onttsha. thhaheti," * 500, None]
+    cut = Counted(public_tokenizers.PATTERN)
+    assert bpe.encode_texts(texts, vocab, cut) == [reference.encode_ordinary(t or "") for t in texts]
+    assert cut.chars < sum(len(t or "") for t in texts) // 10
+
+
+def test_merging_asks_no_hash(reference, monkeypatch):
+    vocab = bpe.Vocabulary(PATH)
+    monkeypatch.setattr(vocab, "fast_rank", None)  # ranks of pairs are in the table already
+    for piece in (" thhaheti", "z" * 300, "\u6f22\u5b57\u00fc", "q"):
+        assert vocab.merged(piece.encode()) == reference.encode_ordinary(piece)
+
+
+def test_chunks_of_odd_white_space(reference):
+    vocab = bpe.vocabulary(PATH)
+    spaces = "\t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000"
+    others = "ab's1.-\x00\x7f\xa9\u00e9\u1681\u2014\u200b\u2060\u3001\u6f22\u0301\uff11\U0001f642"
+    pick = random.Random(7)
+    texts = ["".join(pick.choice([" ", pick.choice(spaces), pick.choice(others)]) for _ in range(pick.randrange(12))) for _ in range(8000)]
+    for pattern in (public_tokenizers.PATTERN, r"\w+|\W"):
+        cut = regex.compile(pattern)
+        assert bpe.encode_texts(texts, vocab, cut) == [bpe.encode_text(t, vocab, cut) for t in texts]
+    assert bpe.encode_texts(texts, vocab, regex.compile(public_tokenizers.PATTERN)) == [reference.encode_ordinary(t) for t in texts]
+
+
 def test_encode_decode_frames(spark, reference):
     rows = [(i, t, "clash") for i, t in enumerate(TEXTS)] + [(None, "no id", "x"), (3, TEXTS[3], "repeat")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)

@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding and decoding with a two-tier lookup.
+r"""Byte-level BPE encoding and decoding with a two-tier lookup.
 
 Texts are cut into pre-tokens by the tokenizer's pattern (one match at a time, as tiktoken's
 ``encode_ordinary`` does; special tokens are plain text). Each pre-token's UTF-8 bytes then go
@@ -13,13 +13,20 @@ through two tiers:
    (rank of the merged pair, position) for every adjacent pair that is a token. The least rank, and
    among equal ranks the leftmost pair, is merged; entries whose pair has changed since are skipped,
    and the merged node's new pairs with its neighbours are pushed. Pair ranks come from the same
-   hash, asked once per pair of ids in a worker (a memo that empties itself when full).
+   hash, asked once for every cut of a vocabulary string into two when the table is built.
 
 The table is built once on the driver from the ranks file (its path is a parameter) and broadcast;
-its size is bounded by the vocabulary's. Pre-tokens not in the vocabulary and their ids are kept in a
-per-worker memo that is emptied when it holds ``MEMO`` entries; it changes no result.
+its size is bounded by the vocabulary's. Pre-tokens and their ids are kept in a per-worker memo that
+is emptied when it holds ``MEMO`` entries or ``MEMO_CHARS`` characters; it changes no result.
 
-Decoding joins the byte strings of the ids.
+Texts are cut into chunks before the pattern sees them, each distinct chunk of a slice is matched and
+encoded once, and the texts' ids are put together from the chunks' as arrays. With a pattern of
+``BLANK_PARTED`` a chunk begins at every blank before a character that is no white space: no match
+runs over such a place, and the matches on either side do not depend on the other side. (Outside white
+space, only the first character of a match may be a blank; white space before the blank is matched up to
+it either way, as ``\s+(?!\S)`` leaves the blank to the word.) With other patterns a text is one chunk.
+
+Decoding takes the byte strings of the ids from an Arrow array, whose buffer is the joined bytes.
 
 Defined results for odd input: a null text encodes as no ids (like the empty text); a null id list
 decodes to empty bytes; ids outside the vocabulary are an error. Every column of the input is kept;
@@ -30,7 +37,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from itertools import chain
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,11 +47,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from waybill.llm.arrays import column_of, gathered
+from waybill.llm.arrays import column_of, flat, gathered
 
 MEMO = 1_000_000
-PAIR_MEMO = 1_000_000
-SLICE_BYTES = 2 << 20
+MEMO_CHARS = 16 * MEMO
+SLICE_BYTES = 4 << 20
+#: Patterns whose matches never run over a blank before a character that is no white space.
+BLANK_PARTED = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
 _TABLES: dict[str, "Vocabulary"] = {}
 
 
@@ -130,11 +139,12 @@ class Vocabulary:
         self.keys = keys
         self.ranks = ranks
         self.table = PerfectHash(keys)
+        self.pairs = self._pairs()
         self._ready()
 
     def __getstate__(self) -> dict:
-        """What a task needs: the strings, their ranks and the hash's arrays (no memo, no closures)."""
-        return {"keys": self.keys, "ranks": self.ranks, "table": self.table}
+        """What a task needs: the strings, their ranks, the hash's arrays and the pairs (no memo, no closures)."""
+        return {"keys": self.keys, "ranks": self.ranks, "table": self.table, "pairs": self.pairs}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -144,13 +154,25 @@ class Vocabulary:
         self.by_id: list[bytes | None] = [None] * (max(self.ranks, default=-1) + 1)
         for key, rank in zip(self.keys, self.ranks):
             self.by_id[rank] = key
-        self.memo: dict[bytes, tuple[int, ...]] = {}
-        self.pair_memo: dict[int, int | None] = {}
+        self.words = pa.array(self.by_id, pa.large_binary())
+        self.memo: dict[str, bytes] = {}
+        self.memo_chars = 0
         self.fast_rank = self.ranker()
         self.byte_ids = [self.rank(bytes([b])) for b in range(256)]
-        self.pair_ids = [self.rank(bytes([a, b])) for a in range(256) for b in range(256)]  # two-byte lookups, once
         if None in self.byte_ids:
             raise ValueError("not every byte is a token, so this is no byte-level vocabulary")
+        self.byte_pairs = [self.pairs.get(a << 20 | b, -1) for a in self.byte_ids for b in self.byte_ids]
+
+    def _pairs(self) -> dict[int, int]:
+        """Ranks by pairs of ids whose strings join to a token: every cut of every string into two tokens."""
+        rank, out = self.ranker(), {}
+        for key, joined in zip(self.keys, self.ranks):
+            for k in range(1, len(key)):
+                left = rank(key[:k])
+                right = None if left is None else rank(key[k:])
+                if right is not None:
+                    out[left << 20 | right] = joined
+        return out
 
     def rank(self, piece: bytes) -> int | None:
         i = self.table.index(piece)
@@ -174,69 +196,65 @@ class Vocabulary:
     def merged(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is no token: least-rank adjacent pairs merged first, leftmost on ties.
 
-        Nodes are linked by ``end`` (one past a node's last byte; -1 once merged away). The heap
-        holds ``rank * n + position`` of candidate pairs, so the least rank and then the leftmost
-        pair comes first; a popped entry counts only if the pair now at its position still has
-        that rank. The rank of two neighbours is the perfect hash's rank of their joined bytes,
-        asked once per pair of ids and kept in ``pair_memo`` (emptied at ``PAIR_MEMO`` entries).
+        Nodes are linked by ``after`` and ``before``; a node merged away has the id -1. ``now`` holds the
+        rank of the pair that begins at a node (-1: none). The heap holds rank and position of candidate
+        pairs in one integer, so the least rank and then the leftmost pair comes first; a popped entry
+        counts only if the pair now at its position still has that rank.
         """
-        memo, words, rank = self.pair_memo, self.by_id, self.fast_rank
-        if len(memo) >= PAIR_MEMO:
-            memo.clear()
         n = len(piece)
-        end = list(range(1, n + 1))
+        shift = n.bit_length()
+        mask = (1 << shift) - 1
+        ranks, byte_ids, byte_pairs = self.pairs.get, self.byte_ids, self.byte_pairs
+        after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        ids = [self.byte_ids[b] for b in piece]
-        pairs = self.pair_ids
-        heap = []
-        for i in range(n - 1):
-            r = pairs[piece[i] << 8 | piece[i + 1]]
-            if r is not None:
-                heap.append(r * n + i)
-                memo[ids[i] << 20 | ids[i + 1]] = r
+        ids = [byte_ids[b] for b in piece]
+        now = [byte_pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        now.append(-1)
+        heap = [r << shift | i for i, r in enumerate(now) if r >= 0]
         heapq.heapify(heap)
         pop, push = heapq.heappop, heapq.heappush
         while heap:
-            r, i = divmod(pop(heap), n)
-            middle = end[i]
-            if middle < 0 or middle >= n or memo.get(ids[i] << 20 | ids[middle]) != r:
+            top = pop(heap)
+            i, r = top & mask, top >> shift
+            if now[i] != r:
                 continue
-            stop = end[middle]
-            end[middle] = -1
-            end[i] = stop
+            middle = after[i]
+            stop = after[i] = after[middle]
+            now[middle] = ids[middle] = -1
             ids[i] = r
             if stop < n:
                 before[stop] = i
-                key = r << 20 | ids[stop]
-                found = memo.get(key, -1)
-                if found == -1:
-                    found = memo[key] = rank(words[r] + words[ids[stop]])
-                if found is not None:
-                    push(heap, found * n + i)
+                found = now[i] = ranks(r << 20 | ids[stop], -1)
+                if found >= 0:
+                    push(heap, found << shift | i)
+            else:
+                now[i] = -1
             p = before[i]
             if p >= 0:
-                key = ids[p] << 20 | r
-                found = memo.get(key, -1)
-                if found == -1:
-                    found = memo[key] = rank(words[ids[p]] + words[r])
-                if found is not None:
-                    push(heap, found * n + p)
-        out, i = [], 0
-        while i < n:
-            out.append(ids[i])
-            i = end[i]
-        return out
+                found = now[p] = ranks(ids[p] << 20 | r, -1)
+                if found >= 0:
+                    push(heap, found << shift | p)
+        return [i for i in ids if i >= 0]
 
     def encode_piece(self, piece: bytes) -> list[int]:
         r = self.fast_rank(piece)
-        if r is not None:
-            return [r]
-        ids = self.memo.get(piece)
-        if ids is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            ids = self.memo[piece] = tuple(self.merged(piece))
-        return ids
+        return self.merged(piece) if r is None else [r]
+
+    def runs(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each pre-token as 32-bit integers; one met before is taken from the memo."""
+        memo = self.memo
+        if len(memo) >= MEMO or self.memo_chars >= MEMO_CHARS:
+            memo.clear()
+            self.memo_chars = 0
+        out = list(map(memo.get, pieces))
+        for i in [i for i, run in enumerate(out) if run is None]:
+            piece = pieces[i]
+            run = memo.get(piece)
+            if run is None:
+                run = memo[piece] = array("i", self.encode_piece(piece.encode("utf-8"))).tobytes()
+                self.memo_chars += len(piece)
+            out[i] = run
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(self.by_id[i] for i in ids)
@@ -257,29 +275,103 @@ def encode_text(text: str | None, vocab: Vocabulary, pattern: regex.Pattern) ->
     return out
 
 
-def encode_flat(texts: list[str | None], vocab: Vocabulary, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and ids of all texts; a pre-token met several times in the call is looked up once."""
-    cut = [pattern.findall(t) if t else [] for t in texts]
-    known: dict[str, list[int]] = {}
-    for pieces in cut:
-        for piece in pieces:
-            if piece not in known:
-                known[piece] = vocab.encode_piece(piece.encode("utf-8"))
-    per_text = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
-    offsets = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(ids) for ids in per_text], out=offsets[1:])
-    return offsets, np.fromiter(chain.from_iterable(per_text), np.int32, int(offsets[-1]))
+def _no_space() -> np.ndarray:
+    """By two bytes (the first one the higher): True if no white space character begins with them."""
+    out = np.ones((256, 256), bool)
+    for c in map(chr, range(0x3001)):  # the last white space character is U+3000
+        if regex.match(r"\s", c):
+            raw = c.encode("utf-8")
+            out[raw[0], raw[1] if len(raw) > 1 else slice(None)] = False
+    return out.ravel()
+
+
+_NO_SPACE = _no_space()
+
+
+def _parting(data: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Places of blanks before a character that is no white space; none at the last byte of a text."""
+    blank = np.flatnonzero(data[:-1] == 32)
+    blank = blank[~last[blank]]
+    behind = np.minimum(blank + 2, len(data) - 1)  # the second byte says something of longer characters only
+    return blank[_NO_SPACE[data[blank + 1].astype(np.int64) << 8 | data[behind]]]
+
+
+def _chunks(texts: pa.Array, parted: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct chunks of the texts, the number of each chunk met, and where each text's chunks begin."""
+    data, rows_at = flat(texts)
+    n = len(data)
+    edge = np.zeros(n + 1, bool)
+    edge[rows_at] = True
+    begins = edge[:n].copy()
+    if parted:
+        begins[_parting(data, edge[1:])] = True
+    starts = np.append(np.flatnonzero(begins), n)
+    chunks = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(data))
+    coded = chunks.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.searchsorted(starts, rows_at)
+
+
+def _matches(chunks: pa.Array, parted: bool, pattern: regex.Pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Pre-tokens of the chunks, where each chunk's begin and how many they are.
+
+    Chunks that begin at a parting blank are matched in one string: no match runs over their bounds.
+    """
+    data, at = flat(chunks)
+    loose = np.zeros(len(chunks), bool)
+    if parted:
+        edge = np.zeros(len(data) + 1, bool)
+        edge[at] = True
+        here = _parting(data, edge[1:])
+        loose = np.isin(at[:-1], here, assume_unique=True)
+    texts = chunks.to_pylist()
+    own = [texts[i] for i in np.flatnonzero(loose).tolist()]
+    pieces = pattern.findall("".join(own))
+    first, count = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+    ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+    upto = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, own), np.int64, len(own))), "right")
+    count[loose] = np.diff(upto, prepend=0)
+    first[loose] = upto - count[loose]
+    for i in np.flatnonzero(~loose).tolist():
+        found = pattern.findall(texts[i])
+        first[i], count[i] = len(pieces), len(found)
+        pieces += found
+    return pieces, first, count
+
+
+def _spread(values: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of so many values from these places, one after another, and where each begins (and the last ends)."""
+    before = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=before[1:])
+    return values[np.repeat(at - before[:-1], sizes) + np.arange(before[-1])], before
+
+
+def encode_flat(texts: pa.Array, vocab: Vocabulary, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and ids of all texts; a chunk met several times in the call is matched and encoded once."""
+    parted = pattern.pattern in BLANK_PARTED
+    chunks, which, rows = _chunks(texts, parted)
+    pieces, first, count = _matches(chunks, parted, pattern)
+    runs = vocab.runs(pieces)
+    ids = np.frombuffer(b"".join(runs), np.int32)
+    at = np.zeros(len(runs) + 1, np.int64)  # of each pre-token's ids
+    np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)) >> 2, out=at[1:])
+    low, high = at[first], at[first + count]
+    ids, before = _spread(ids, low[which], (high - low)[which])
+    return before[rows], ids
 
 
 def encode_texts(texts: list[str | None], vocab: Vocabulary, pattern: regex.Pattern) -> list[list[int]]:
     """Ids of each text, as lists."""
-    offsets, ids = encode_flat(texts, vocab, pattern)
+    offsets, ids = encode_flat(pa.array(texts, pa.large_string()), vocab, pattern)
     return [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
 
 
 def _decoded(offsets: np.ndarray, ids: np.ndarray, vocab: Vocabulary) -> pa.Array:
-    words = vocab.by_id
-    return pa.array([b"".join([words[i] for i in ids[a:b].tolist()]) for a, b in zip(offsets[:-1], offsets[1:])], pa.large_binary())
+    words = vocab.words.take(pa.array(ids))  # an id out of range is an error
+    if words.null_count:
+        raise ValueError("an id is not in the vocabulary")
+    _, at, data = words.buffers()
+    at = np.frombuffer(at, np.int64)[offsets] if len(ids) else np.zeros(len(offsets), np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(at), data])
 
 
 def encode(
@@ -302,7 +394,7 @@ def encode(
         vocab = shared.value
         cut = regex.compile(pattern)
         for table in gathered(batches, text_name, SLICE_BYTES):
-            offsets, ids = encode_flat(column_of(table, text_name).to_pylist(), vocab, cut)
+            offsets, ids = encode_flat(column_of(table, text_name), vocab, cut)
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
             extra = [lists] + ([_decoded(offsets, ids, vocab).cast(pa.binary())] if decoded else [])
             columns = [column_of(table, c) for c in table.column_names] + extra

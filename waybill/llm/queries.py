@@ -76,7 +76,7 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.transform("ids", lambda i: i.cast("string"))), 256).alias("ids_sha256"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
